@@ -1,0 +1,54 @@
+"""Session helpers shared by tests, the bench and the entry point."""
+
+from __future__ import annotations
+
+import os
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def local_session(cores: int | str = 8, app: str = "docketry") -> SparkSession:
+    """A local session for tests and the bench; on a cluster the submitter brings the session."""
+    return (
+        SparkSession.builder.master(f"local[{cores}]")
+        .appName(app)
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.driver.memory", os.environ.get("BENCH_DRIVER_MEMORY", "16g"))
+        .config("spark.sql.shuffle.partitions", str(cores if str(cores).isdigit() else 8))
+        .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .getOrCreate()
+    )
+
+
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A fresh folder below the shared checkpoint folder that the session names.
+
+    Only a local session without that setting falls back to a temporary folder: on a
+    cluster, executors could not see a folder of the driver's machine.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = os.path.join(tempfile.gettempdir(), "docketry-checkpoints")
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write a result that several later steps read to the shared folder, and read it back.
+
+    Used where a plan would otherwise run twice over the big input. The copy outlives lost
+    executors, and each reader takes only the columns it needs.
+    """
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
