@@ -1,0 +1,282 @@
+"""Text to tokens, phrases, term weights and topics.
+
+Token arrays stay in their document's row as long as possible: cleaning, pairing and term
+counting need no shuffle. Shuffles carry terms with their counts.
+"""
+
+from __future__ import annotations
+
+import string
+from collections.abc import Sequence
+
+from pyspark.ml.clustering import KMeans, LDA, LDAModel
+from pyspark.ml.feature import CountVectorizer
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.recommendation import ALS
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from docketry.functions import fixed_values as V
+from docketry.functions.text import bind
+
+
+def clean_text(text: Column) -> Column:
+    """Punctuation out, lower case, accents and digits out, single blanks."""
+    plain = F.translate(F.lower(F.translate(text, string.punctuation, "")), V.ACCENTED, V.UNACCENTED)
+    return F.trim(F.regexp_replace(F.regexp_replace(plain, "[0-9]+", ""), "[ \\t\\n\\r\\f\\u000b]+", " "))
+
+
+def expand_contractions(tokens: Column) -> Column:
+    """'dont' becomes 'do', 'not'."""
+    full = F.create_map(*[F.lit(x) for kv in V.CONTRACTIONS.items() for x in kv])
+    return F.flatten(F.transform(tokens, lambda t: F.split(F.coalesce(F.try_element_at(full, t), t), " ")))
+
+
+def tokenize(text: Column) -> Column:
+    """Words of a cleaned text."""
+    return F.filter(expand_contractions(F.split(clean_text(text), " ")), lambda t: t != "")
+
+
+def stopword_table(base: DataFrame, custom: DataFrame, removed: DataFrame, added: DataFrame) -> DataFrame:
+    """(base and custom) without the removed, with the added; all are one-column word tables."""
+    return base.unionByName(custom).join(removed, "word", "left_anti").unionByName(added).distinct()
+
+
+def remove_stopwords(tokens: Column, words: Sequence[str]) -> Column:
+    """Tokens that are no stop word, repeats kept; the list becomes a hash set in the plan."""
+    return F.filter(tokens, lambda t: ~t.isin(list(words)))
+
+
+def word_frequencies(df: DataFrame, tokens: str, top: int = 5000) -> DataFrame:
+    counts = df.select(F.explode(tokens).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    return counts.orderBy(F.desc("n"), "word").limit(top)
+
+
+def pairs(tokens: Column) -> Column:
+    """Neighbouring tokens as {a, b}, in order."""
+    return bind(
+        tokens,
+        lambda t: F.zip_with(
+            F.slice(t, F.lit(1), F.greatest(F.size(t) - 1, F.lit(0))),
+            F.slice(t, F.lit(2), F.greatest(F.size(t) - 1, F.lit(0))),
+            lambda a, b: F.struct(a.alias("a"), b.alias("b")),
+        ),
+    )
+
+
+def phrases(df: DataFrame, tokens: str, min_count: int, threshold: float) -> DataFrame:
+    """Collocations (a, b, n, score) with score = (n_ab - min) * V / (n_a * n_b) above the threshold.
+
+    V counts distinct words and distinct pairs, which share one vocabulary. One shuffle
+    counts both kinds; the joins that follow see each distinct pair once.
+    """
+    single = F.transform(tokens, lambda t: F.struct(t.alias("a"), F.lit(None).cast("string").alias("b")))
+    counts = (
+        df.select(F.explode(F.concat(single, pairs(F.col(tokens)))).alias("g"))
+        .groupBy("g.a", "g.b")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    size = counts.agg(F.count(F.lit(1)).cast("double").alias("v")).scalar()
+    words = counts.filter(F.col("b").isNull()).select("a", F.col("n").alias("n_a"))
+    often = counts.filter(F.col("b").isNotNull() & (F.col("n") >= min_count))
+    scored = often.join(words, "a").join(words.select(F.col("a").alias("b"), F.col("n_a").alias("n_b")), "b")
+    scored = scored.withColumn("_v", size).withColumn(
+        "score", F.round((F.col("n") - min_count) / F.col("n_a") / F.col("n_b") * F.col("_v"), 6)
+    )
+    return scored.filter(F.col("score") > threshold).select("a", "b", "n", "score")
+
+
+def apply_phrases(df: DataFrame, found: DataFrame, key: str, tokens: str, into: str | None = None) -> DataFrame:
+    """Join the words of a phrase with '_', left to right without overlap.
+
+    In a run of neighbouring hits every second one is taken, counted from the start of the
+    run. Only the places of the hits are grouped, then cut the token array in its row.
+    """
+    at = df.select(key, F.posexplode(pairs(F.col(tokens))).alias("pos", "p"))
+    hits = at.select(key, "pos", F.col("p.a").alias("a"), F.col("p.b").alias("b")).join(found.select("a", "b"), ["a", "b"])
+    w = Window.partitionBy(key).orderBy("pos")
+    runs = hits.select(key, "pos").withColumn("_run", F.col("pos") - F.row_number().over(w))
+    first = F.min("pos").over(Window.partitionBy(key, "_run"))
+    taken = runs.withColumn("_from", first).filter((F.col("pos") - F.col("_from")) % 2 == 0)
+    places = taken.groupBy(key).agg(F.array_sort(F.collect_list("pos")).alias("_at"))
+
+    t, m = F.col(tokens), F.col("_at")
+    after = lambda i: F.coalesce(F.get(m, i - 1) + 2, F.lit(0))
+    joined = lambda p: F.concat(F.get(t, p), F.lit("_"), F.get(t, p + 1))
+    pieces = F.transform(m, lambda p, i: F.concat(F.slice(t, after(i) + 1, p - after(i)), F.array(joined(p))))
+    end = F.element_at(m, -1) + 2
+    merged = F.concat(F.flatten(pieces), F.slice(t, end + 1, F.size(t)))
+    out = df.join(places, key, "left").withColumn(into or tokens, F.when(m.isNull(), t).otherwise(merged))
+    return out.drop("_at")
+
+
+def term_counts(tokens: Column) -> Column:
+    """Array of {term, n} of one document, by sorting its tokens in place."""
+
+    def count(s: Column) -> Column:
+        n = F.size(s)
+        ends = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == n - 1) | (F.get(s, i) != F.get(s, i + 1)))
+        return bind(
+            ends,
+            lambda e: F.transform(
+                e,
+                lambda i, j: F.struct(F.get(s, i).alias("term"), (i - F.coalesce(F.get(e, j - 1), F.lit(-1))).alias("n")),
+            ),
+        )
+
+    return F.when(F.size(tokens) > 0, bind(F.array_sort(tokens), count))
+
+
+def vocabulary(
+    df: DataFrame, tokens: str, min_df: int = 2, max_df: float = 0.9, keep: int = 10_000
+) -> DataFrame:
+    """(term, df, n) of terms in at least ``min_df`` and at most a share of documents, most frequent first."""
+    total = df.agg(F.count(F.lit(1)).cast("double").alias("d")).scalar()
+    counts = (
+        df.select(F.explode(term_counts(F.col(tokens))).alias("c"))
+        .groupBy(F.col("c.term").alias("term"))
+        .agg(F.count(F.lit(1)).alias("df"), F.sum("c.n").alias("n"))
+        .withColumn("_d", total)
+    )
+    kept = counts.filter((F.col("df") >= min_df) & (F.col("df") <= F.col("_d") * max_df)).drop("_d")
+    return kept.orderBy(F.desc("df"), "term").limit(keep)
+
+
+def bag_of_words(df: DataFrame, key: str, tokens: str, vocab: DataFrame) -> DataFrame:
+    """(key, term, n) for terms of the vocabulary."""
+    counted = df.select(key, F.explode(term_counts(F.col(tokens))).alias("c")).select(key, "c.term", "c.n")
+    return counted.join(vocab.select("term"), "term", "left_semi").select(key, "term", "n")
+
+
+def tfidf(df: DataFrame, key: str, tokens: str, max_features: int = 5000, digits: int = 9) -> DataFrame:
+    """(key, term, weight): count times ln(N/df)+1, rows normed to sum 1.
+
+    An L2 norm before the L1 norm is a factor that cancels out, so it is left out.
+    """
+    total = df.agg(F.count(F.lit(1)).cast("double").alias("d")).scalar()
+    counted = df.select(key, F.explode(term_counts(F.col(tokens))).alias("c")).select(key, "c.term", "c.n")
+    terms = counted.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("n").alias("_n"))
+    top = terms.orderBy(F.desc("_n"), "term").limit(max_features).withColumn("_d", total)
+    idf = top.select("term", (F.log(F.col("_d") / F.col("df")) + 1).alias("_idf"))
+    weighted = counted.join(idf, "term").withColumn("_w", F.col("n") * F.col("_idf"))
+    row = F.sum("_w").over(Window.partitionBy(key))
+    return weighted.withColumn("weight", F.round(F.col("_w") / row, digits)).select(key, "term", "weight")
+
+
+def class_tfidf(df: DataFrame, topic: str, tokens: str, digits: int = 6) -> DataFrame:
+    """(topic, term, n, weight): share of the term in its topic times ln(1 + A / n_term).
+
+    A is the mean number of words per topic.
+    """
+    counts = (
+        df.select(topic, F.explode(term_counts(F.col(tokens))).alias("c"))
+        .groupBy(topic, F.col("c.term").alias("term"))
+        .agg(F.sum("c.n").alias("n"))
+    )
+    per_topic = counts.groupBy(topic).agg(F.sum("n").alias("_words"))
+    per_term = counts.groupBy("term").agg(F.sum("n").alias("_all"))
+    mean = per_topic.agg(F.avg("_words").alias("a")).scalar()
+    joined = counts.join(per_topic, topic).join(per_term, "term").withColumn("_a", mean)
+    weight = F.col("n") / F.col("_words") * F.log(1 + F.col("_a") / F.col("_all"))
+    return joined.select(topic, "term", "n", F.round(weight, digits).alias("weight"))
+
+
+def top_terms(weights: DataFrame, topic: str, weight: str = "weight", n: int = 10) -> DataFrame:
+    """The n heaviest terms of each topic with their rank."""
+    w = Window.partitionBy(topic).orderBy(F.desc(weight), "term")
+    return weights.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
+
+
+def coherence(docs: DataFrame, key: str, tokens: str, topics: DataFrame, digits: int = 6) -> DataFrame:
+    """(topic, npmi, umass) for topic words (topic, term, rank), from document co-occurrence.
+
+    Only topic words are paired, inside their document, so a document brings at most one
+    row per topic and word pair.
+    """
+    total = docs.agg(F.count(F.lit(1)).cast("double").alias("d")).scalar()
+    words = docs.select(key, F.explode(F.array_distinct(F.col(tokens))).alias("term"))
+    # A topic holds a fixed, small number of words, and so does each group of this aggregate.
+    present = words.join(topics, "term").groupBy(key, "topic").agg(
+        F.array_sort(F.collect_list(F.struct("rank", "term"))).alias("t")
+    )
+    couples = F.flatten(
+        F.transform(
+            "t",
+            lambda x, i: F.transform(
+                F.slice(F.col("t"), i + 1, F.size("t")), lambda y: F.struct(x["rank"].alias("a"), y["rank"].alias("b"))
+            ),
+        )
+    )
+    counts = present.select("topic", F.explode(couples).alias("p")).groupBy("topic", "p.a", "p.b").agg(
+        F.count(F.lit(1)).cast("double").alias("n")
+    )
+    ranks = topics.select("topic", F.col("rank").alias("a"))
+    wanted = ranks.join(ranks.withColumnRenamed("a", "b"), "topic").filter("a < b")
+    alone = counts.filter("a = b").select("topic", "a", F.col("n").alias("n_a"))
+    both = counts.filter("a < b").withColumnRenamed("n", "n_ab")
+    joined = (
+        wanted.join(both, ["topic", "a", "b"], "left")
+        .join(alone, ["topic", "a"])
+        .join(alone.select("topic", F.col("a").alias("b"), F.col("n_a").alias("n_b")), ["topic", "b"])
+        .withColumn("_d", total)
+    )
+    n, d = F.col("n_ab"), F.col("_d")
+    npmi = F.when(n.isNull(), -1.0).when(n == d, 1.0).otherwise(
+        F.log(n * d / (F.col("n_a") * F.col("n_b"))) / -F.log(n / d)
+    )
+    umass = F.log((F.coalesce(n, F.lit(0.0)) + 1) / F.col("n_a"))
+    return joined.groupBy("topic").agg(F.round(F.avg(npmi), digits).alias("npmi"), F.round(F.avg(umass), digits).alias("umass"))
+
+
+def lda_models(
+    df: DataFrame, tokens: str, ks: Sequence[int] = (2, 3, 4, 5), passes: int = 10, seed: int = 1111,
+    min_df: int = 2, max_df: float = 0.9, keep: int = 10_000,
+) -> tuple[dict[int, LDAModel], DataFrame, list[str]]:
+    """One LDA model per topic count over the same counts, with the counts and the vocabulary."""
+    vectorizer = CountVectorizer(inputCol=tokens, outputCol="counts", minDF=min_df, maxDF=max_df, vocabSize=keep).fit(df)
+    counted = vectorizer.transform(df)
+    models = {
+        k: LDA(k=k, maxIter=passes, seed=seed, featuresCol="counts", optimizeDocConcentration=True).fit(counted) for k in ks
+    }
+    return models, counted, vectorizer.vocabulary
+
+
+def lda_terms(model: LDAModel, vocab: list[str], n: int = 10) -> DataFrame:
+    """(topic, rank, term, weight) of a fitted model; the vocabulary is capped when it is learned."""
+    described = model.describeTopics(n)
+    words = F.array(*[F.lit(w) for w in vocab])
+    rows = described.select("topic", F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("rank", "t"))
+    return rows.select(
+        "topic", (F.col("rank") + 1).alias("rank"), F.get(words, F.col("t.termIndices")).alias("term"),
+        F.col("t.termWeights").alias("weight"),
+    )
+
+
+def assign_topics(model: LDAModel, counted: DataFrame, key: str) -> DataFrame:
+    """(key, topic, probability): likeliest topic of each document."""
+    shares = model.transform(counted).select(key, vector_to_array("topicDistribution").alias("p"))
+    top = F.array_max("p")
+    return shares.select(key, (F.array_position("p", top) - 1).cast("int").alias("topic"), top.alias("probability"))
+
+
+def nmf_terms(weights: DataFrame, key: str, topics: int, n: int = 10, iterations: int = 10, seed: int = 11111) -> DataFrame:
+    """(topic, rank, term, weight) of a non-negative factorization of (key, term, weight).
+
+    The vocabulary of the weights is capped, so numbering its terms is a small window.
+    """
+    numbers = weights.select("term").distinct().withColumn(
+        "term_no", (F.row_number().over(Window.orderBy("term")) - 1).cast("int")
+    )
+    rated = weights.join(numbers, "term").select(F.col(key).cast("int").alias("doc_no"), "term_no", F.col("weight").cast("float"))
+    model = ALS(
+        rank=topics, maxIter=iterations, nonnegative=True, seed=seed, userCol="doc_no", itemCol="term_no", ratingCol="weight"
+    ).fit(rated)
+    loads = model.itemFactors.select(F.col("id").alias("term_no"), F.posexplode("features").alias("topic", "weight"))
+    return top_terms(loads.join(numbers, "term_no").select("topic", "term", "weight"), "topic", n=n)
+
+
+def embedding_clusters(df: DataFrame, vector: str, k: int, seed: int = 7, into: str = "topic") -> DataFrame:
+    """Cluster number of each embedding."""
+    points = df.withColumn("_v", array_to_vector(F.col(vector).cast("array<double>")))
+    model = KMeans(k=k, seed=seed, featuresCol="_v", predictionCol=into).fit(points)
+    return model.transform(points).drop("_v")
