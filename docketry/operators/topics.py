@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from docketry.functions import fixed_values as V
 from docketry.functions.text import bind
+from docketry.session import stage
 
 
 def clean_text(text: Column) -> Column:
@@ -234,7 +235,7 @@ def lda_models(
 ) -> tuple[dict[int, LDAModel], DataFrame, list[str]]:
     """One LDA model per topic count over the same counts, with the counts and the vocabulary."""
     vectorizer = CountVectorizer(inputCol=tokens, outputCol="counts", minDF=min_df, maxDF=max_df, vocabSize=keep).fit(df)
-    counted = vectorizer.transform(df)
+    counted = stage(vectorizer.transform(df), "counts")
     models = {
         k: LDA(k=k, maxIter=passes, seed=seed, featuresCol="counts", optimizeDocConcentration=True).fit(counted) for k in ks
     }
@@ -244,12 +245,12 @@ def lda_models(
 def lda_terms(model: LDAModel, vocab: list[str], n: int = 10) -> DataFrame:
     """(topic, rank, term, weight) of a fitted model; the vocabulary is capped when it is learned."""
     described = model.describeTopics(n)
-    words = F.array(*[F.lit(w) for w in vocab])
+    words = described.sparkSession.createDataFrame(list(enumerate(vocab)), "term_no int, term string")
     rows = described.select("topic", F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("rank", "t"))
-    return rows.select(
-        "topic", (F.col("rank") + 1).alias("rank"), F.get(words, F.col("t.termIndices")).alias("term"),
-        F.col("t.termWeights").alias("weight"),
+    numbered = rows.select(
+        "topic", (F.col("rank") + 1).alias("rank"), F.col("t.termIndices").alias("term_no"), F.col("t.termWeights").alias("weight")
     )
+    return numbered.join(words, "term_no").select("topic", "rank", "term", "weight")
 
 
 def assign_topics(model: LDAModel, counted: DataFrame, key: str) -> DataFrame:
