@@ -16,7 +16,13 @@ from docketry.sources.tables import VersionedTable, upsert_by_key
 def k():
     return F.get_json_object("props", "$.k").cast("bigint")
 
+def unit():
+    """Business unit of an event: big values belong to B1."""
+    return F.when(F.col("value") > 10, "B1").otherwise("B0")
+
+
 SQL_K = "cast(json_extract(props, '$.k') AS bigint)"
+SQL_UNIT = "CASE WHEN value > 10 THEN 'B1' ELSE 'B0' END"
 CONTACT_KEYS = {
     "Contact_ID": ["ContactId", ""], "Call_Start_Time": ["ConnectedToSystemTimestamp", ""], "Agent_ID": ["Agent", "Username"],
     "Number_Holds": ["Agent", "NumberOfHolds"], "BU": ["Attributes", "BU"], "Language": ["Attributes", "Language__c"],
@@ -38,7 +44,7 @@ def contact_json(spark, sf):
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ConnectedToSystemTimestamp"),
         F.when(F.col("event_type") != "error", agent).alias("Agent"),
         F.struct(
-            F.concat(F.lit("B"), F.col("user_id") % 2).alias("BU"), F.lit("English").alias("Language__c"),
+            unit().alias("BU"), F.lit("English").alias("Language__c"),
             F.concat(F.lit("case-"), k()).alias("sfCaseID"),
         ).alias("Attributes"),
         F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss."), F.lpad(F.col("event_id").cast("string"), 12, "0")).alias("LastUpdateTimestamp"),
@@ -48,7 +54,7 @@ def contact_json(spark, sf):
 
 CONTACT_CTE = f"""WITH contacts AS (SELECT 'c-' || user_id AS "Contact_ID", strftime(ts, '%Y-%m-%d %H:%M:%S') AS "Call_Start_Time",
    CASE WHEN event_type <> 'error' THEN 'agent' || ({SQL_K} % 7) END AS "Agent_ID", CASE WHEN event_type <> 'error' THEN cast({SQL_K} % 4 AS varchar) END AS "Number_Holds",
-   'B' || (user_id % 2) AS "BU", 'English' AS "Language", 'case-' || {SQL_K} AS "SF_Case_ID",
+   {SQL_UNIT} AS "BU", 'English' AS "Language", 'case-' || {SQL_K} AS "SF_Case_ID",
    strftime(ts, '%Y-%m-%d %H:%M:%S.') || lpad(cast(event_id AS varchar), 12, '0') AS "Last_Update_Time" FROM events),
  newest AS (SELECT * EXCLUDE (rn, "Last_Update_Time") FROM (SELECT *, row_number() OVER (PARTITION BY "Contact_ID" ORDER BY "Last_Update_Time" DESC) AS rn FROM contacts) WHERE rn = 1)"""
 
@@ -136,7 +142,7 @@ def join_call_case(spark, sf):
 DAILY_SQL = f"""WITH days AS (SELECT cast(unnest(generate_series(DATE '2024-01-05', DATE '2024-01-12', INTERVAL 1 DAY)) AS date) AS call_day),
   c AS (SELECT call_day, 'case-' || {SQL_K} AS "SF_Case_ID", ts AS "SF_Case_CreatedDate", event_type AS "SF_Type" FROM events, days
     WHERE cast(ts AS date) BETWEEN call_day - 1 AND call_day QUALIFY row_number() OVER (PARTITION BY call_day, {SQL_K} ORDER BY ts DESC, event_id DESC) = 1),
-  t AS (SELECT cast(ts AS date) AS call_day, 'c-' || user_id AS "Contact_ID", 'B' || (user_id % 2) AS "BU", 'case-' || {SQL_K} AS "SF_Case_ID" FROM events
+  t AS (SELECT cast(ts AS date) AS call_day, 'c-' || user_id AS "Contact_ID", {SQL_UNIT} AS "BU", 'case-' || {SQL_K} AS "SF_Case_ID" FROM events
     WHERE cast(ts AS date) BETWEEN DATE '2024-01-05' AND DATE '2024-01-12'
     QUALIFY row_number() OVER (PARTITION BY cast(ts AS date), user_id ORDER BY ts DESC, event_id DESC) = 1)
   SELECT t.*, "SF_Case_CreatedDate", "SF_Type" FROM t LEFT JOIN c ON t.call_day = c.call_day AND t."SF_Case_ID" = c."SF_Case_ID" WHERE "BU" = 'B1'"""
@@ -149,7 +155,7 @@ def daily_union(spark, sf):
     events = table(spark, sf, "events").withColumn("call_day", F.to_date("ts")).filter(F.col("call_day").between(start, end))
     newest = calls.newest_per_key(events, ["call_day", "user_id"], F.desc("ts"), F.desc("event_id"))
     contact = F.concat(F.lit("c-"), F.col("user_id")).alias("Contact_ID")
-    contacts = newest.select("call_day", contact, F.concat(F.lit("B"), F.col("user_id") % 2).alias("BU"), F.concat(F.lit("case-"), k()).alias("SF_Case_ID"))
+    contacts = newest.select("call_day", contact, unit().alias("BU"), F.concat(F.lit("case-"), k()).alias("SF_Case_ID"))
     day_cases = calls.case_latest_range(cases(spark, sf), start, end, CASE_NAMES, ties=["event_id"])
     trans = contacts.select("call_day", "Contact_ID")
     return calls.join_call_case(trans, contacts, day_cases, "B1", on_day="call_day")
@@ -187,7 +193,7 @@ def survey_a(spark, sf):
     rows = table(spark, sf, "events").select(
         F.concat(F.lit("c-"), F.col("user_id")).alias("contact"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("interaction_date"),
         F.concat(F.lit("a"), k()).alias("survey_id"), F.concat(F.lit("case-"), k()).alias("case_number"), F.lit("EN").alias("language"),
-        F.concat(F.lit("B"), F.col("user_id") % 2).alias("unit"), (k() % 11).cast("string").alias("ltr"),
+        unit().alias("unit"), (k() % 11).cast("string").alias("ltr"),
         F.lit("member").alias("customer_type"), F.col("event_type").alias("status"),
     )
     return surveys.project_a(rows, {"status": "purchase", "unit": "B1", "language": "EN"}, SURVEY_A)
@@ -206,7 +212,7 @@ def survey_b(spark, sf):
 
 SQL_A = f"""(SELECT DISTINCT 'c-' || user_id AS "NPS_Contact_Id", strftime(ts, '%Y-%m-%d %H:%M:%S') AS "NPS_Call_Date", 'a' || {SQL_K} AS "NPS_Survey_Id", 'case-' || {SQL_K} AS "NPS_Case_Number",
   'EN' AS "NPS_Language", 'B1' AS "NPS_Business_Unit", cast({SQL_K} % 11 AS varchar) AS "NPS_LTR", 'member' AS "NPS_Customer_Type", event_type AS "NPS_Status"
-  FROM events WHERE event_type = 'purchase' AND user_id % 2 = 1)"""
+  FROM events WHERE event_type = 'purchase' AND {SQL_UNIT} = 'B1')"""
 SQL_B = """(SELECT DISTINCT strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS "NPS_Call_Date", 'b' || o_custkey AS "NPS_Survey_Id", 'case-' || (o_custkey % 100) AS "NPS_Case_Number", 'EN' AS "NPS_Language",
   o_orderpriority AS "NPS_Business_Unit", cast(cast(floor(o_totalprice) AS bigint) % 11 AS varchar) AS "NPS_LTR", o_orderstatus AS "NPS_Status"
   FROM (SELECT * FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1)

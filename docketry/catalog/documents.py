@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from docketry.catalog.base import CLAIM_CTE, VISIT_CTE, claim_docs, query, sql_hits, visit_docs
 from docketry.catalog.fields import SQL_EMAIL_RE, sql_dates
 from docketry.functions import fixed_values as V
-from docketry.functions.text import strip_punctuation
 from docketry.operators import documents
 from docketry.session import table
 
@@ -29,7 +28,10 @@ def doc_label_clean(spark, sf):
 
 
 def ocr_records(spark, sf):
-    """OCR results as JSON, written from the claim documents: words with a confidence, one style span per page."""
+    """OCR results as JSON, written from the claim documents: words with a confidence, two style spans.
+
+    Pages of one kind stand for error responses.
+    """
     words = F.transform(
         F.split("content", " "),
         lambda w, i: F.struct(w.alias("content"), (((F.length(w) * 7 + i) % 100) / 100).alias("confidence")),
@@ -46,7 +48,7 @@ def ocr_records(spark, sf):
             )
         ).alias("styles"),
     )
-    failed = F.col("doc_id") % 50 == 49
+    failed = F.col("content").contains("explanation of benefits")
     return claim_docs(spark, sf).select(
         "doc_id", F.to_json(F.struct(F.when(~failed, response).alias("response")), {"ignoreNullFields": "false"}).alias("fr_result")
     )
@@ -55,15 +57,15 @@ def ocr_records(spark, sf):
 @query(
     "doc_json_content",
     CLAIM_CTE
-    + """ SELECT doc_id, CASE WHEN doc_id % 50 <> 49 THEN content END AS content,
-      CASE WHEN doc_id % 50 <> 49 THEN len(list_distinct(string_split(content, ' '))) END AS distinct_words,
-      CASE WHEN doc_id % 50 <> 49 THEN 2 END AS spans FROM docs""",
+    + """ SELECT doc_id, CASE WHEN NOT contains(content, 'explanation of benefits') THEN content END AS content,
+      CASE WHEN NOT contains(content, 'explanation of benefits') THEN len(list_distinct(string_split(content, ' '))) END AS distinct_words,
+      CASE WHEN NOT contains(content, 'explanation of benefits') THEN 2 END AS spans FROM docs""",
 )
 def doc_json_content(spark, sf):
     read = documents.read_ocr_json(ocr_records(spark, sf), "fr_result")
     return read.select(
-        "doc_id", "content", F.map_size("word_confidence").alias("distinct_words") if hasattr(F, "map_size")
-        else F.when(F.col("word_confidence").isNotNull(), F.size("word_confidence")).alias("distinct_words"),
+        "doc_id", "content",
+        F.when(F.col("word_confidence").isNotNull(), F.size("word_confidence")).alias("distinct_words"),
         F.when(F.col("styles").isNotNull(), F.size(F.col("styles")[0]["spans"])).alias("spans"),
     )
 
@@ -72,7 +74,7 @@ def doc_json_content(spark, sf):
     "doc_word_confidence",
     CLAIM_CTE
     + """, w AS (SELECT doc_id, unnest(string_split(content, ' ')) AS word, generate_subscripts(string_split(content, ' '), 1) - 1 AS pos
-        FROM docs WHERE doc_id % 50 <> 49)
+        FROM docs WHERE NOT contains(content, 'explanation of benefits'))
       SELECT doc_id, word, arg_max(((len(word) * 7 + pos) % 100) / 100, pos) AS confidence FROM w GROUP BY doc_id, word""",
 )
 def doc_word_confidence(spark, sf):
@@ -95,7 +97,7 @@ def doc_first_words(spark, sf):
 @query(
     "doc_handwritten_share",
     CLAIM_CTE
-    + """ SELECT doc_id, CASE WHEN doc_id % 50 = 49 THEN 0.0
+    + """ SELECT doc_id, CASE WHEN contains(content, 'explanation of benefits') THEN 0.0
         ELSE round(cast(doc_id % 40 + doc_id % 17 AS double) / len(content), 3) END AS handwritten_percentage FROM docs""",
 )
 def doc_handwritten_share(spark, sf):

@@ -112,7 +112,7 @@ def oversample_minority(spark, sf):
 def cv_model_compare(spark, sf):
     folded = training.add_fold(labelled(spark, sf), "doc_id")
     weighted = stage(training.patterns(folded, FEATURES, extra=["fold"]), "patterns")
-    return training.best_model(training.compare_models(weighted, FEATURES))
+    return training.compare_models(weighted, FEATURES)
 
 
 @query("fit_risk_model")

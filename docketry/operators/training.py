@@ -18,8 +18,10 @@ from pyspark.ml.classification import (
     LogisticRegression,
     RandomForestClassifier,
 )
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -139,26 +141,24 @@ def plain_names(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.replace("&", "_and_") for c in df.columns])
 
 
-def compare_models(df: DataFrame, flags: Sequence[str], folds: int = 5, seed: int = 42) -> DataFrame:
-    """(model, fold, accuracy) of k-fold cross-validation on weighted patterns with a fold column."""
-    out = None
-    for name, model in classifiers(seed).items():
-        for fold in range(folds):
-            fitted = _pipeline(model, flags).fit(df.filter(F.col("fold") != fold))
-            scored = fitted.transform(df.filter(F.col("fold") == fold))
-            hit = F.when(F.col("prediction") == F.col("label"), F.col("weight")).otherwise(0.0)
-            row = scored.agg((F.sum(hit) / F.sum("weight")).alias("accuracy")).select(
-                F.lit(name).alias("model"), F.lit(fold).alias("fold"), "accuracy"
-            )
-            out = row if out is None else out.unionByName(row)
-    return out
-
-
-def best_model(results: DataFrame) -> DataFrame:
-    """Mean accuracy per model, and which one is best."""
-    means = results.groupBy("model").agg(F.avg("accuracy").alias("mean_accuracy"))
-    top = means.agg(F.max_by("model", F.struct("mean_accuracy", "model")).alias("m")).scalar()
-    return means.withColumn("is_best", F.col("model") == top)
+def compare_models(df: DataFrame, flags: Sequence[str], folds: int = 5, seed: int = 42, parallelism: int = 5) -> DataFrame:
+    """(model, mean_accuracy, is_best) of k-fold cross-validation on weighted patterns with a fold column.
+
+    The models are alternatives for the last stage of one pipeline, so one cross-validator
+    compares them and fits several at a time.
+    """
+    models = classifiers(seed)
+    pipeline = Pipeline(stages=[])
+    grid = [{pipeline.stages: _pipeline(model, flags).getStages()} for model in models.values()]
+    evaluator = MulticlassClassificationEvaluator(metricName="accuracy", labelCol="label", weightCol="weight")
+    fitted = CrossValidator(
+        estimator=pipeline, estimatorParamMaps=grid, evaluator=evaluator, numFolds=folds, foldCol="fold",
+        parallelism=parallelism,
+    ).fit(df)
+    means = dict(zip(models, fitted.avgMetrics))
+    best = max(means, key=means.get)
+    rows = [(name, float(mean), name == best) for name, mean in means.items()]
+    return df.sparkSession.createDataFrame(rows, "model string, mean_accuracy double, is_best boolean")
 
 
 def fit_risk_model(weighted: DataFrame, flags: Sequence[str]) -> PipelineModel:

@@ -19,13 +19,16 @@ class ChangeFlow:
 
     ``load`` is cdc (full snapshots) or delta (increments), ``table`` is dimension or
     transaction, ``keys`` may be empty. Masked copies are written where a plan is given.
+    A landing that holds a key twice is an error, unless ``newest_by`` names the column by
+    which the newest copy is kept.
     """
 
     def __init__(
         self, spark: SparkSession, root: str, keys: Sequence[str], load: str = "cdc", table: str = "dimension",
-        mask_plan: str = "",
+        mask_plan: str = "", newest_by: str | None = None,
     ):
         self.keys, self.load, self.table, self.mask_plan = list(keys), load, table, mask_plan
+        self.newest_by = newest_by
         self.changes_table = ChangeTable(spark, f"{root}/changes", EFF)
         self.history_table = VersionedTable(spark, f"{root}/history")
         self.current_table = VersionedTable(spark, f"{root}/current")
@@ -53,7 +56,16 @@ class ChangeFlow:
             stored = self.changes().filter(F.col(EFF) == F.lit(day).cast("date"))
             self.masked_changes.write(masking.apply_masks(stored, self.mask_plan), first_load)
 
+    def _one_per_key(self, landing: DataFrame) -> DataFrame:
+        if self.newest_by:
+            return cdc.newest_per_key(landing, self.keys, F.desc(self.newest_by))
+        twice = cdc.duplicate_keys(landing, self.keys).first()
+        if twice is not None:
+            raise ValueError(f"landing holds a key more than once: {twice.asDict()}")
+        return landing
+
     def first_load(self, landing: DataFrame, day: str, run_ts: str, batch_id: int) -> None:
+        landing = self._one_per_key(landing) if self.keys else landing
         loaded = cdc.initial_load(landing, self.keys, day, run_ts, batch_id, self.load, self.table)
         if loaded["changes"] is not None:
             self._put_changes(loaded["changes"], day, first_load=True)
@@ -68,7 +80,7 @@ class ChangeFlow:
         """
         if not self.keys:
             return self.first_load(landing, day, run_ts, batch_id)
-        changes = self.changes()
+        landing, changes = self._one_per_key(landing), self.changes()
         cdc.reject_late(changes, day)
         self._put_changes(cdc.diff(landing, changes, self.keys, day, run_ts, batch_id, self.load, self.table), day, False)
         if self.table != "transaction":
