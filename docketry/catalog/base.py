@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docketry.session import table
+from docketry.session import text_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -77,12 +77,12 @@ VISIT_CTE = f"WITH claim_docs AS ({VISIT_SQL}),\n docs AS (SELECT *, lower(conte
 
 def claim_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Claim documents written from orders; every rule has positive and negative rows."""
-    return table(spark, sf_dir, "orders").selectExpr(*[f"{e} AS {c}" for c, e in CLAIM_COLUMNS.items()])
+    return text_table(spark, sf_dir, "orders").selectExpr(*[f"{e} AS {c}" for c, e in CLAIM_COLUMNS.items()])
 
 
 def visit_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Claim documents with dates in every supported layout."""
-    return table(spark, sf_dir, "orders").selectExpr(*[f"{e} AS {c}" for c, e in VISIT_COLUMNS.items()])
+    return text_table(spark, sf_dir, "orders").selectExpr(*[f"{e} AS {c}" for c, e in VISIT_COLUMNS.items()])
 
 
 def sql_words(words: list[str]) -> str:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from docketry.catalog.base import query
 from docketry.operators import calendar, calls, projections, runlog, surveys
-from docketry.session import scratch_dir, table
+from docketry.session import scratch_dir, table, text_table
 from docketry.sources.tables import VersionedTable, upsert_by_key
 
 def k():
@@ -49,7 +49,7 @@ def contact_json(spark, sf):
         ).alias("Attributes"),
         F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss."), F.lpad(F.col("event_id").cast("string"), 12, "0")).alias("LastUpdateTimestamp"),
     )
-    return table(spark, sf, "events").select(F.to_json(record).alias("json_value"))
+    return text_table(spark, sf, "events").select(F.to_json(record).alias("json_value"))
 
 
 CONTACT_CTE = f"""WITH contacts AS (SELECT 'c-' || user_id AS "Contact_ID", strftime(ts, '%Y-%m-%d %H:%M:%S') AS "Call_Start_Time",
@@ -88,7 +88,7 @@ def transcript_json(spark, sf):
         utterances.alias("Transcript"),
         F.struct(F.array(F.col("source")).alias("MatchedCategories")).alias("Categories"),
     )
-    return table(spark, sf, "documents").select(F.to_json(record).alias("json_value"))
+    return text_table(spark, sf, "documents").select(F.to_json(record).alias("json_value"))
 
 
 @query(
@@ -404,5 +404,5 @@ TOPICS = {"contact": ["[a-z]+@[a-z]+", r"\d{3}-\d{4}"], "license": ["licen[cs]e"
     "SELECT doc_id, " + ", ".join(f"regexp_matches(text, '{'|'.join(f'(?:{p})' for p in ps)}') AS topic_{n}" for n, ps in TOPICS.items()) + " FROM documents",
 )
 def topic_search_labels(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = text_table(spark, sf, "documents", "doc_id", "text")
     return calls.search_topics(docs, "text", TOPICS).drop("text")

@@ -8,14 +8,14 @@ from docketry.catalog.base import CLAIM_CTE, VISIT_CTE, claim_docs, query, sql_h
 from docketry.catalog.fields import SQL_EMAIL_RE, sql_dates
 from docketry.functions import fixed_values as V
 from docketry.operators import documents
-from docketry.session import table
+from docketry.session import table, text_table
 
 ANY = lambda text, words: f"({sql_hits(text, words)} > 0)"
 
 
 @query("doc_flatten_newlines", "SELECT doc_id, replace(text, chr(10), ' ') AS content FROM documents")
 def doc_flatten_newlines(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = text_table(spark, sf, "documents")
     return docs.select("doc_id", documents.flatten_newlines(F.col("text")).alias("content"))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from docketry.catalog.base import CLAIM_CTE, VISIT_CTE, claim_docs, query, sql_hits, visit_docs
 from docketry.functions import fixed_values as V
 from docketry.operators import fields
-from docketry.session import table
+from docketry.session import text_table
 
 POSTAL_RE = V.POSTAL_IN_WINDOW.replace("\\d", "[0-9]")
 SQL_PAY = sql_hits("t", V.PAYMENT_WORDS)
@@ -34,7 +34,7 @@ def rule_paid_by_cash_v2(spark, sf):
 
 @query("rule_no_dollar_symbol", "SELECT doc_id, strpos(text, '$') = 0 AS no_dollar_symbol FROM documents")
 def rule_no_dollar_symbol(spark, sf):
-    return fields.no_dollar_symbol(table(spark, sf, "documents"), "text").select("doc_id", "no_dollar_symbol")
+    return fields.no_dollar_symbol(text_table(spark, sf, "documents"), "text").select("doc_id", "no_dollar_symbol")
 
 
 @query(
@@ -125,7 +125,7 @@ def rule_payment_amount(spark, sf):
     f"SELECT doc_id, {_sql_amount('lower(text)')} AS payment_amount FROM documents",
 )
 def rule_payment_amount_prose(spark, sf):
-    return fields.payment_amount(table(spark, sf, "documents"), "text").select("doc_id", "payment_amount")
+    return fields.payment_amount(text_table(spark, sf, "documents"), "text").select("doc_id", "payment_amount")
 
 
 SQL_REGISTER = "coalesce(" + ", ".join(_first_token("r", k, False) for k in V.REGISTER_KEYWORDS) + ")"
@@ -225,7 +225,7 @@ def extract_phone(spark, sf):
 
 @query("extract_phone_prose", f"SELECT doc_id, {sql_phone('lower(text)')} AS phone_nbr FROM documents")
 def extract_phone_prose(spark, sf):
-    return fields.phone(table(spark, sf, "documents"), "text").select("doc_id", "phone_nbr")
+    return fields.phone(text_table(spark, sf, "documents"), "text").select("doc_id", "phone_nbr")
 
 
 def _sql_fax(keyword: str) -> str:
@@ -255,4 +255,4 @@ def extract_email(spark, sf):
     f"SELECT doc_id, nullif(regexp_extract(lower(text), '{SQL_EMAIL_RE}'), '') AS email_nbr FROM documents",
 )
 def extract_email_prose(spark, sf):
-    return fields.email(table(spark, sf, "documents"), "text").select("doc_id", "email_nbr")
+    return fields.email(text_table(spark, sf, "documents"), "text").select("doc_id", "email_nbr")

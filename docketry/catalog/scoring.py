@@ -12,7 +12,7 @@ from docketry.catalog.fields import (
 from docketry.functions import fixed_values as V
 from docketry.operators import fields, scoring
 from docketry.plans import claim_risk
-from docketry.session import table
+from docketry.session import text_table
 
 # Rule flags of every claim document, and the 0/1 features made of them.
 FLAG_CTE = (
@@ -73,7 +73,7 @@ def feat_payment_bands(spark, sf):
       FROM p GROUP BY ALL""",
 )
 def minimum_slice_band_counts(spark, sf):
-    docs = table(spark, sf, "documents").select(F.col("text").alias("content"))
+    docs = text_table(spark, sf, "documents").select(F.col("text").alias("content"))
     banded = scoring.payment_bands(fields.payment_amount(fields.no_dollar_symbol(docs)), bands=(200, 500))
     return banded.groupBy("no_dollar_symbol", "payment_above_200", "payment_above_500").agg(F.count(F.lit(1)).alias("n"))
 

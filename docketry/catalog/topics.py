@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from docketry.catalog.base import query
 from docketry.functions import fixed_values as V
 from docketry.operators import topics
-from docketry.session import stage, table
+from docketry.session import stage, table, text_table
 
 _PUNCT = string.punctuation.replace("'", "''")
 SQL_CLEAN = f"""trim(regexp_replace(regexp_replace(translate(lower(translate(text, '{_PUNCT}', '')), '{V.ACCENTED}', '{V.UNACCENTED}'), '[0-9]+', '', 'g'),
@@ -22,7 +22,7 @@ TOKEN_CTE = f"""WITH cleaned AS (SELECT doc_id, source, {SQL_CLEAN} AS x FROM do
 
 
 def tokens(spark, sf, *keep):
-    docs = table(spark, sf, "documents")
+    docs = text_table(spark, sf, "documents")
     kept = topics.remove_stopwords(topics.tokenize(F.col("text")), V.STOPWORDS)
     return docs.select("doc_id", *keep, kept.alias("tokens"))
 
@@ -34,12 +34,12 @@ def staged_tokens(spark, sf, *keep):
 
 @query("text_clean", f"SELECT doc_id, {SQL_CLEAN} AS content FROM documents")
 def text_clean(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", topics.clean_text(F.col("text")).alias("content"))
+    return text_table(spark, sf, "documents").select("doc_id", topics.clean_text(F.col("text")).alias("content"))
 
 
 @query("tokenize", TOKEN_CTE + " SELECT doc_id, len(all_toks) AS n_tokens, array_to_string(all_toks, ' ') AS tokens FROM expanded")
 def tokenize(spark, sf):
-    words = table(spark, sf, "documents").select("doc_id", topics.tokenize(F.col("text")).alias("t"))
+    words = text_table(spark, sf, "documents").select("doc_id", topics.tokenize(F.col("text")).alias("t"))
     return words.select("doc_id", F.size("t").cast("bigint").alias("n_tokens"), F.array_join("t", " ").alias("tokens"))
 
 
@@ -50,7 +50,7 @@ def tokenize(spark, sf):
 )
 def stopword_set(spark, sf):
     base = spark.createDataFrame([(w,) for w in V.STOPWORDS], "word string")
-    docs = table(spark, sf, "documents")
+    docs = text_table(spark, sf, "documents")
     custom = table(spark, sf, "conversations").select(F.lower("role").alias("word")).unionByName(docs.select(F.lower("source").alias("word")))
     removed = spark.createDataFrame([(w,) for w in ("no", "not", "out", "system")], "word string")
     return topics.stopword_table(base, custom, removed, docs.select(F.col("lang").alias("word")))

@@ -9,6 +9,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from docketry.functions.fixed_values import DATE_FORMATS
+from docketry.functions.text import bind
+
+# --- fixed values: month names that the layouts can read
+MONTHS = "jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec"
 
 
 def parse_match(match: Column, layout: str) -> Column:
@@ -28,13 +32,20 @@ def matches(text: Column, pattern: str) -> Column:
     return F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
 
 
+def _found(text: Column, pattern: str, layout: str) -> Column:
+    """Dates of one layout. A layout with a month name is only searched for where one is next to a digit."""
+    dates = F.array_compact(F.transform(matches(text, pattern), _reader(layout)))
+    if "MMM" not in layout:
+        return dates
+    near = rf"(?:{MONTHS})(?U:[\s|-])\d" if layout.startswith("MMM") else rf"\d(?U:[\s|-])(?:{MONTHS})"
+    return F.when(text.rlike(near), dates).otherwise(F.array().cast("array<date>"))
+
+
 def dates_in(text: Column, formats: list[tuple[str, str]] = DATE_FORMATS) -> Column:
     """Sorted distinct dates written in the text in any of the formats."""
-    found = [F.transform(matches(text, p), _reader(f)) for p, f in formats]
-    return F.array_sort(F.array_distinct(F.array_compact(F.concat(*found))))
+    return bind(text, lambda t: F.array_sort(F.array_distinct(F.concat(*[_found(t, p, f) for p, f in formats]))))
 
 
 def date_matches(text: Column, formats: list[tuple[str, str]]) -> Column:
     """Distinct parseable date strings, counted per format."""
-    counts = [F.size(F.array_compact(F.transform(matches(text, p), _reader(f)))) for p, f in formats]
-    return reduce(lambda a, b: a + b, counts)
+    return reduce(lambda a, b: a + b, [F.size(_found(text, p, f)) for p, f in formats])

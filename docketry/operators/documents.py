@@ -24,7 +24,7 @@ OCR_SCHEMA = (
 
 
 def flatten_newlines(content: Column) -> Column:
-    return F.translate(content, "\n", " ")
+    return F.replace(content, F.lit("\n"), F.lit(" "))
 
 
 def label_clean(content: Column) -> Column:

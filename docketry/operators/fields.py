@@ -112,7 +112,7 @@ def payment_amount(df: DataFrame, content: str = "content") -> DataFrame:
 def register_number(df: DataFrame, content: str = "content") -> DataFrame:
     """Token with a digit after the first register keyword that has one, without '#'."""
     found = bind(
-        F.translate(F.lower(content), ".,:", "   "),
+        F.regexp_replace(F.lower(content), "[.,:]", " "),
         lambda t: F.coalesce(*[first_digit_token(window_after(t, k, V.KEYWORD_WINDOW)) for k in V.REGISTER_KEYWORDS]),
     )
     return df.withColumn("register_num", F.translate(found, "#", ""))

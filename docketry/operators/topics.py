@@ -6,6 +6,7 @@ counting need no shuffle. Shuffles carry terms with their counts.
 
 from __future__ import annotations
 
+import re
 import string
 from collections.abc import Sequence
 
@@ -23,8 +24,12 @@ from docketry.session import stage
 
 def clean_text(text: Column) -> Column:
     """Punctuation out, lower case, accents and digits out, single blanks."""
-    plain = F.translate(F.lower(F.translate(text, string.punctuation, "")), V.ACCENTED, V.UNACCENTED)
-    return F.trim(F.regexp_replace(F.regexp_replace(plain, "[0-9]+", ""), "[ \\t\\n\\r\\f\\u000b]+", " "))
+    lowered = F.lower(F.regexp_replace(text, f"[{re.escape(string.punctuation)}0-9]+", ""))
+    plain = bind(
+        lowered,
+        lambda t: F.when(t.rlike("[^\\x00-\\x7f]"), F.translate(t, V.ACCENTED, V.UNACCENTED)).otherwise(t),
+    )
+    return F.trim(F.regexp_replace(plain, "[ \\t\\n\\r\\f\\u000b]+", " "))
 
 
 def expand_contractions(tokens: Column) -> Column:
@@ -69,7 +74,8 @@ def phrases(df: DataFrame, tokens: str, min_count: int, threshold: float) -> Dat
     """Collocations (a, b, n, score) with score = (n_ab - min) * V / (n_a * n_b) above the threshold.
 
     V counts distinct words and distinct pairs, which share one vocabulary. One shuffle
-    counts both kinds; the joins that follow see each distinct pair once.
+    counts both kinds, and its result is staged because four steps read it; the joins that
+    follow see each distinct pair once.
     """
     single = F.transform(tokens, lambda t: F.struct(t.alias("a"), F.lit(None).cast("string").alias("b")))
     counts = (
@@ -77,6 +83,7 @@ def phrases(df: DataFrame, tokens: str, min_count: int, threshold: float) -> Dat
         .groupBy("g.a", "g.b")
         .agg(F.count(F.lit(1)).alias("n"))
     )
+    counts = stage(counts, "phrase-counts")
     size = counts.agg(F.count(F.lit(1)).cast("double").alias("v")).scalar()
     words = counts.filter(F.col("b").isNull()).select("a", F.col("n").alias("n_a"))
     often = counts.filter(F.col("b").isNotNull() & (F.col("n") >= min_count))

@@ -43,6 +43,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core on an input of few splits; an input with enough splits is left alone.
+
+    Text work is bound by the processor, and a small file is one split, so one task. Large
+    inputs come in far more splits than cores and never meet this shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
+def text_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """A table whose rows carry long texts, ready for work that is bound by the processor."""
+    df = table(spark, sf_dir, name)
+    return spread(df.select(*columns) if columns else df)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a result that several later steps read to the shared folder, and read it back.
 
