@@ -15,13 +15,22 @@ from docketry.functions.text import bind
 MONTHS = "jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec"
 
 
+# --- fixed values: shape a date must have for its layout; days have at most two digits
+SHAPES = {
+    "MMM d yyyy": r"^[a-z]{3} \d{1,2} \d{4}$",
+    "d MMM yyyy": r"^\d{1,2} [a-z]{3} \d{4}$",
+    "M d yyyy": r"^\d{1,2} \d{1,2} \d{4}$",
+    "yyyy M d": r"^\d{4} \d{1,2} \d{1,2}$",
+}
+
+
 def parse_match(match: Column, layout: str) -> Column:
-    """Read one matched date; null where it is no calendar date."""
+    """Read one matched date in lower case; null where it is no calendar date."""
     clean = F.trim(F.regexp_replace(F.regexp_replace(match, r"(?U)[^\w\s]", " "), r"\s+", " "))
     if layout.endswith(" yy"):
         clean = F.regexp_replace(clean, r"(\d{2})$", "20$1")
         layout = layout + "yy"
-    return F.try_to_date(clean, layout)
+    return bind(clean, lambda c: F.when(c.rlike(SHAPES[layout]), F.try_to_date(c, layout)))
 
 
 def _reader(layout: str) -> Callable[[Column], Column]:
