@@ -99,9 +99,8 @@ def transcript_json(spark, sf):
 )
 def transcript_conversations(spark, sf):
     turns = calls.transcripts(transcript_json(spark, sf), TRANSCRIPT_KEYS)
-    return turns.select("Contact_ID", "Matched_Categories", F.posexplode("Conversations").alias("pos", "c")).select(
-        "Contact_ID", "Matched_Categories", "pos", "c.*"
-    )
+    placed = turns.select("Contact_ID", "Matched_Categories", F.posexplode_outer("Conversations").alias("pos", "c"))
+    return placed.filter("pos IS NOT NULL").select("Contact_ID", "Matched_Categories", "pos", "c.*")
 
 
 def cases(spark, sf):

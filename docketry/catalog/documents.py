@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from docketry.catalog.base import CLAIM_CTE, VISIT_CTE, claim_docs, query, sql_hits, visit_docs
 from docketry.catalog.fields import SQL_EMAIL_RE, sql_dates
 from docketry.functions import fixed_values as V
+from docketry.functions.text import explode_once
 from docketry.operators import documents
 from docketry.session import table, text_table
 
@@ -79,7 +80,9 @@ def doc_json_content(spark, sf):
 )
 def doc_word_confidence(spark, sf):
     read = documents.read_ocr_json(ocr_records(spark, sf), "fr_result")
-    return read.select("doc_id", F.explode("word_confidence").alias("word", "confidence"))
+    pairs = F.map_entries("word_confidence")
+    words = read.select("doc_id", explode_once(pairs).alias("e")).filter("e IS NOT NULL")
+    return words.select("doc_id", F.col("e.key").alias("word"), F.col("e.value").alias("confidence"))
 
 
 @query(

@@ -20,6 +20,16 @@ def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def explode_once(array: Column | str) -> Column:
+    """Explode a computed array without computing it twice.
+
+    For a plain explode the optimizer adds a test that the array is not empty and pushes it
+    down to where the array is made. The outer form has no such test; the caller drops the
+    null rows it gives for empty arrays.
+    """
+    return F.explode_outer(array)
+
+
 def any_word(text: Column, words: Iterable[str]) -> Column:
     """True where the text contains one of the words."""
     return reduce(lambda a, b: a | b, [text.contains(w) for w in words], F.lit(False))

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docketry.functions import fixed_values as V
-from docketry.functions.text import bind
+from docketry.functions.text import bind, explode_once
 from docketry.session import stage
 
 
@@ -54,7 +54,8 @@ def remove_stopwords(tokens: Column, words: Sequence[str]) -> Column:
 
 
 def word_frequencies(df: DataFrame, tokens: str, top: int = 5000) -> DataFrame:
-    counts = df.select(F.explode(tokens).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    words = df.select(explode_once(tokens).alias("word")).filter(F.col("word").isNotNull())
+    counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     return counts.orderBy(F.desc("n"), "word").limit(top)
 
 
@@ -174,13 +175,14 @@ def tfidf(df: DataFrame, key: str, tokens: str, max_features: int = 5000, digits
 def class_tfidf(df: DataFrame, topic: str, tokens: str, digits: int = 6) -> DataFrame:
     """(topic, term, n, weight): share of the term in its topic times ln(1 + A / n_term).
 
-    A is the mean number of words per topic.
+    A is the mean number of words per topic. The counts are staged: four steps read them.
     """
     counts = (
         df.select(topic, F.explode(term_counts(F.col(tokens))).alias("c"))
         .groupBy(topic, F.col("c.term").alias("term"))
         .agg(F.sum("c.n").alias("n"))
     )
+    counts = stage(counts, "class-counts")
     per_topic = counts.groupBy(topic).agg(F.sum("n").alias("_words"))
     per_term = counts.groupBy("term").agg(F.sum("n").alias("_all"))
     mean = per_topic.agg(F.avg("_words").alias("a")).scalar()
