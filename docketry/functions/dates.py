@@ -9,11 +9,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from docketry.functions.fixed_values import DATE_FORMATS
-from docketry.functions.text import bind
+from docketry.functions.text import any_word, bind
 
 # --- fixed values: month names that the layouts can read
 MONTHS = "jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec"
 
+# A date with a month name has one of these right before or after its digits. The look-ahead
+# spares most letters the twelve comparisons.
+_MONTH = f"(?=[adfjmnos])(?:{MONTHS})"
+NEAR_MONTH = rf"{_MONTH}(?U:[\s|-])\d|\d(?U:[\s|-]){_MONTH}"
+
 
 # --- fixed values: shape a date must have for its layout; days have at most two digits
 SHAPES = {
@@ -41,20 +46,31 @@ def matches(text: Column, pattern: str) -> Column:
     return F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
 
 
+def _named(layout: str) -> bool:
+    return "MMM" in layout
+
+
 def _found(text: Column, pattern: str, layout: str) -> Column:
-    """Dates of one layout. A layout with a month name is only searched for where one is next to a digit."""
-    dates = F.array_compact(F.transform(matches(text, pattern), _reader(layout)))
-    if "MMM" not in layout:
-        return dates
-    near = rf"(?:{MONTHS})(?U:[\s|-])\d" if layout.startswith("MMM") else rf"\d(?U:[\s|-])(?:{MONTHS})"
-    return F.when(text.rlike(near), dates).otherwise(F.array().cast("array<date>"))
+    return F.array_compact(F.transform(matches(text, pattern), _reader(layout)))
+
+
+def _where_month(text: Column, found: Column, otherwise: Column) -> Column:
+    """Search for month names only in texts that have one next to a digit."""
+    return F.when(any_word(text, MONTHS.split("|")) & text.rlike(NEAR_MONTH), found).otherwise(otherwise)
 
 
 def dates_in(text: Column, formats: list[tuple[str, str]] = DATE_FORMATS) -> Column:
     """Sorted distinct dates written in the text in any of the formats."""
-    return bind(text, lambda t: F.array_sort(F.array_distinct(F.concat(*[_found(t, p, f) for p, f in formats]))))
+
+    def found(t: Column) -> Column:
+        named = F.concat(*[_found(t, p, f) for p, f in formats if _named(f)])
+        plain = F.concat(*[_found(t, p, f) for p, f in formats if not _named(f)])
+        return F.array_sort(F.array_distinct(F.concat(plain, _where_month(t, named, F.array().cast("array<date>")))))
+
+    return bind(text, found)
 
 
 def date_matches(text: Column, formats: list[tuple[str, str]]) -> Column:
-    """Distinct parseable date strings, counted per format."""
-    return reduce(lambda a, b: a + b, [F.size(_found(text, p, f)) for p, f in formats])
+    """Distinct parseable date strings of layouts with a month name, counted per format."""
+    count = reduce(lambda a, b: a + b, [F.size(_found(text, p, f)) for p, f in formats])
+    return _where_month(text, count, F.lit(0))

@@ -53,13 +53,17 @@ def occurrences(text: Column, word: str) -> Column:
 
 def window_after(text: Column, keyword: str, width: int) -> Column:
     """``width`` characters from the first occurrence of the keyword, null without one."""
-    at = F.instr(text, keyword)
-    return F.when(at > 0, F.substring(text, at, F.lit(width)))
+    return F.when(text.contains(keyword), F.substring(text, F.instr(text, keyword), F.lit(width)))
 
 
 def first_digit_token(text: Column) -> Column:
     """First space-separated token with a digit, null without one."""
-    return F.nullif(F.regexp_extract(text, "([^ ]*[0-9][^ ]*)", 1), F.lit(""))
+    return F.get(F.regexp_extract_all(text, F.lit("([^ ]*[0-9][^ ]*)"), F.lit(1)), F.lit(0))
+
+
+def first_match(text: Column, pattern: str) -> Column:
+    """First match of a pattern, null without one."""
+    return bind(F.regexp_extract(text, pattern, 0), lambda m: F.when(m != "", m))
 
 
 def strip_punctuation(text: Column, by: str = "", keep: str = "") -> Column:
@@ -68,8 +72,8 @@ def strip_punctuation(text: Column, by: str = "", keep: str = "") -> Column:
 
 
 def digits_of(match: Column) -> Column:
-    """Drop punctuation and blanks from a phone-like match; null for no match."""
-    return F.nullif(F.regexp_replace(match, r"[^\w\s]| ", ""), F.lit(""))
+    """Drop punctuation and blanks from a phone-like match."""
+    return F.regexp_replace(match, r"[^\w\s]| ", "")
 
 
 def mode_first(values: list[Column]) -> Column:

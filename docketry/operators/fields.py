@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from docketry.functions import fixed_values as V
 from docketry.functions.dates import dates_in
-from docketry.functions.text import any_of, bind, digits_of, first_digit_token, window_after, word_hits
+from docketry.functions.text import any_of, bind, digits_of, first_digit_token, first_match, window_after, word_hits
 
 
 def paid_by_cash(df: DataFrame, content: str = "content") -> DataFrame:
@@ -74,7 +74,7 @@ def invoice_token(content: Column) -> Column:
 
     def found(t: Column) -> Column:
         windows = [F.substring_index(window_after(t, k, V.KEYWORD_WINDOW), "date", 1) for k in V.INVOICE_KEYWORDS]
-        return F.coalesce(*[first_digit_token(w) for w in windows])
+        return F.when(t.contains("invoice"), F.coalesce(*[first_digit_token(w) for w in windows]))
 
     return bind(F.lower(content), found)
 
@@ -103,26 +103,31 @@ def payment_amount(df: DataFrame, content: str = "content") -> DataFrame:
 
     def amount(t: Column) -> Column:
         bare = F.regexp_extract_all(t, F.lit(V.BARE_AMOUNT), F.lit(0))
-        dollars = F.regexp_extract_all(t, F.lit(V.DOLLAR_AMOUNT), F.lit(0))
-        return bind(dollars, lambda d: F.when(F.size(d) > 0, _largest(d)).otherwise(_largest(bare)))
+        dollars = F.when(t.contains("$"), F.regexp_extract_all(t, F.lit(V.DOLLAR_AMOUNT), F.lit(0)))
+        found = bind(dollars, lambda d: F.when(F.size(d) > 0, _largest(d)).otherwise(_largest(bare)))
+        return F.when(t.contains("."), found)
 
     return df.withColumn("payment_amount", bind(F.lower(content), amount))
 
 
 def register_number(df: DataFrame, content: str = "content") -> DataFrame:
     """Token with a digit after the first register keyword that has one, without '#'."""
-    found = bind(
-        F.regexp_replace(F.lower(content), "[.,:]", " "),
-        lambda t: F.coalesce(*[first_digit_token(window_after(t, k, V.KEYWORD_WINDOW)) for k in V.REGISTER_KEYWORDS]),
-    )
-    return df.withColumn("register_num", F.translate(found, "#", ""))
+
+    def found(t: Column) -> Column:
+        tokens = [first_digit_token(window_after(t, k, V.KEYWORD_WINDOW)) for k in V.REGISTER_KEYWORDS]
+        return F.when(t.contains("reg"), F.coalesce(*tokens))
+
+    token = bind(F.regexp_replace(F.lower(content), "[.,:]", " "), found)
+    return df.withColumn("register_num", F.translate(token, "#", ""))
 
 
 def _bad_address(t: Column) -> Column:
     roads, provinces = any_of(V.ROAD_WORDS), any_of(V.PROVINCE_WORDS)
     placed = lambda w: w.rlike(roads) & w.rlike(provinces)
-    windows = F.regexp_extract_all(t, F.lit(rf"(?s)(?=(address.{{0,{V.ADDRESS_WINDOW - 7}}}))"), F.lit(1))
-    bad_window = F.exists(windows, lambda w: ~(w.rlike(V.POSTAL_IN_WINDOW) & placed(w)))
+    # The look-ahead keeps the rest of a window free for the next "address" in it.
+    windows = F.regexp_extract_all(t, F.lit(rf"(?s)address(?=(.{{0,{V.ADDRESS_WINDOW - 7}}}))"), F.lit(1))
+    good = lambda w: w.rlike(V.POSTAL_IN_WINDOW) & placed(w)
+    bad_window = F.exists(windows, lambda rest: ~bind(F.concat(F.lit("address"), rest), good))
 
     # Ends of the stand-alone postal codes, from the lengths of the gaps before each code.
     codes = F.regexp_extract_all(t, F.lit(V.POSTAL_STANDALONE), F.lit(0))
@@ -170,7 +175,7 @@ def bulk_treatment(df: DataFrame, content: str = "content") -> DataFrame:
 
 
 def phone(df: DataFrame, content: str = "content") -> DataFrame:
-    return df.withColumn("phone_nbr", digits_of(F.regexp_extract(F.lower(content), V.PHONE_PATTERN, 0)))
+    return df.withColumn("phone_nbr", digits_of(first_match(F.lower(content), V.PHONE_PATTERN)))
 
 
 def fax(df: DataFrame, content: str = "content") -> DataFrame:
@@ -183,7 +188,7 @@ def fax(df: DataFrame, content: str = "content") -> DataFrame:
         at, n = F.instr(t, keyword), F.length(t)
         size = F.when(at + (V.FAX_WINDOW - 1) < n, F.lit(V.FAX_WINDOW)).otherwise(n - at)
         window = F.when(at > 0, F.substring(t, at, size))
-        return digits_of(F.regexp_extract(window, V.PHONE_PATTERN, 0))
+        return digits_of(first_match(window, V.PHONE_PATTERN))
 
     found = bind(F.lower(content), lambda t: F.coalesce(*[after(t, k) for k in V.FAX_KEYWORDS]))
     return df.withColumn("fax_nbr", found)
@@ -193,7 +198,7 @@ def email(df: DataFrame, content: str = "content") -> DataFrame:
     """First e-mail address; only texts with an at sign reach the pattern."""
     found = bind(
         F.lower(content),
-        lambda t: F.when(t.contains("@"), F.nullif(F.regexp_extract(t, V.EMAIL_PATTERN, 0), F.lit(""))),
+        lambda t: F.when(t.contains("@"), first_match(t, V.EMAIL_PATTERN)),
     )
     return df.withColumn("email_nbr", found)
 
