@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketry.llm import decontamination, length_histogram, pfair, prefix_join, token_files, toxicity
+from docketry.llm import decontamination, length_histogram, pfair, prefix_doubling, prefix_join, sign_hashing, token_files, toxicity
 from docketry.session import scratch_dir, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,3 +59,13 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     scored = toxicity.score(docs, model)
     return scored.select("doc_id", (~toxicity.in_sample("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op3_prefix_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_doubling.without_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
+@query
+def op9_sign_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sign_hashing.near_duplicates(table(spark, sf_dir, "embeddings"))

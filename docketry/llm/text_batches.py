@@ -13,12 +13,13 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Texts are worked on in pieces of about so many bytes; a longer text is one piece.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 _BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _rng = np.random.Generator(np.random.PCG64(20_011))
 _VALUES = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_SECOND = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _LOWERED = _VALUES.copy()
 _LOWERED[65:91] = _VALUES[97:123]
 SPACE = np.zeros(256, bool)
@@ -64,12 +65,12 @@ def pieces(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[tuple[pa.Re
 
 
 class ByteSums:
-    """Fingerprints of byte ranges [start, end) of one piece."""
+    """Fingerprints of byte ranges [start, end) of one piece; `second` gives independent ones."""
 
-    def __init__(self, data: np.ndarray, lowered: bool = False):
+    def __init__(self, data: np.ndarray, lowered: bool = False, second: bool = False):
         power, self._inverse = _power_tables(len(data) + 1)
         self._sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((_LOWERED if lowered else _VALUES)[data] * power[: len(data)], out=self._sums[1:])
+        np.cumsum((_SECOND if second else _LOWERED if lowered else _VALUES)[data] * power[: len(data)], out=self._sums[1:])
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mix((self._sums[end] - self._sums[start]) * self._inverse[start])
@@ -130,3 +131,27 @@ def list_array(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.
     offsets = np.zeros(len(counts) + 1, np.int32)
     np.cumsum(counts, out=offsets[1:])
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, kind))
+
+
+def window_minima(values: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each window of `width` values within one text: its start, and the place of its least value.
+
+    Values are compared by their upper bits; the first of equal ones counts, which depends on what
+    the window holds and not on where it is.
+    """
+    n = len(values)
+    bits = np.uint64(max(24, n.bit_length()))
+    least = (values >> bits << bits) | np.arange(n, dtype=np.uint64)
+    have = 1
+    while 2 * have <= width and n > have:
+        least = np.minimum(least[: n - 2 * have + 1], least[have : n - have + 1]) if n >= 2 * have else least[:0]
+        have *= 2
+    if have < width:
+        m = max(0, n - width + 1)
+        least = np.minimum(least[:m], least[width - have : width - have + m])
+    starts = np.arange(len(least))
+    inside = np.ones(len(least), bool)
+    for edge in offsets[1:-1].tolist():
+        inside[max(0, edge - width + 1) : edge] = False
+    starts = starts[inside]
+    return starts, (least[inside] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
