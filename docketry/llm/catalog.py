@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketry.llm import decontamination, length_histogram, pfair, prefix_doubling, prefix_join, sign_hashing, token_files, toxicity
+from docketry.llm import compact_windows, decontamination, length_histogram, pfair, prefix_doubling, prefix_join, role_repair, sign_hashing, token_files, toxicity
 from docketry.session import scratch_dir, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,3 +69,13 @@ def op3_prefix_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_sign_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sign_hashing.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op2_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compact_windows.passages(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_role_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return role_repair.rendered(role_repair.repair(table(spark, sf_dir, "conversations")))
