@@ -24,48 +24,66 @@ from docketry.llm.text_batches import list_array, mix, pieces, shingle_sets, sig
 from docketry.llm.workers import if_small, map_arrow
 from docketry.session import stage
 
-#: Share of a set's hashes that the prefix has beyond the least that a join needs, in percent.
-SPARE = 5
-
-
-def _prefix(n: int, percent: int) -> tuple[int, int]:
+#: Sets of up to SHORT[1] hashes are compared with each other by prefixes that have LONG_SPARE percent
+#: more hashes than a join needs, sets of more than SHORT[0] by prefixes with SPARE percent more. The
+#: two ranges overlap by the ratio of sizes that linked sets can have, so each pair has its range.
+#: A long prefix is cheap for a short text and keeps passages that many texts share from pairing them.
+SHORT = (256, 320)
+LONG_SPARE, SPARE = 60, 8
+#: Bits of a set's parity map: each hash flips one. Two maps differ in no more bits than the sets do in hashes.
+BITS = 512
+#: Rows of a hash that one step compares with each other; more are cut into blocks, pair by pair.
+BLOCK = 2000
+
+
+def _prefix(n: int, percent: int, more: int) -> tuple[int, int]:
     """Length of the prefix of a set of n, and how many of its hashes any partner's prefix shares.
 
     Prefixes of n - ceil(t n) + l hashes of two linked sets share at least the smaller l.
     """
     least = -(-percent * n // 100)
-    spare = lambda k: max(1, math.ceil(SPARE * k / 100))
+    spare = lambda k: max(1, math.ceil(more * k / 100))
     return min(n, n - least + spare(n)), spare(least)
 
 
+def _prefixes(s: np.ndarray, percent: int) -> list[tuple[np.ndarray, int]]:
+    """The prefixes of a sorted set, long and short, as 31-bit hashes with the kind in the last bit, and what is shared."""
+    out = []
+    for kind, more in ((0, LONG_SPARE), (1, SPARE)):
+        if (len(s) > SHORT[1]) if kind == 0 else (len(s) * 100 <= SHORT[1] * percent):
+            out.append((np.zeros(0, np.int32), 0))
+            continue
+        length, need = _prefix(len(s), percent, more)
+        short = np.unique((s[:length] >> np.uint64(33)).astype(np.uint32) << np.uint32(1) | np.uint32(kind))
+        # Two hashes that fall together may be one shared hash less.
+        out.append((short.view(np.int32), max(1, need - (length - len(short)))))
+    return out
+
+
 def shingle_table(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
-    """Per row: size of its set, fingerprints of set and prefix, and the prefix as 32-bit hashes."""
+    """Per row: size of its set, fingerprints of set and prefix, and the prefixes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in pieces(batches, text):
             hashes, first = word_hashes(data, offsets)
             out: list[tuple] = []
-            prefixes: list[np.ndarray] = []
+            prefixes: list[list[np.ndarray]] = [[], []]
+            parity: list[bytes] = []
             for s in shingle_sets(hashes, first, words):
-                n = len(s)
-                if not n:
-                    out.append((0, 0, 0, 0, 0))
-                    prefixes.append(np.zeros(0, np.int32))
-                    continue
-                length, need = _prefix(n, percent)
-                short = np.unique((s[:length] >> np.uint64(32)).astype(np.uint32))
-                # Two hashes that fall together in 32 bits may be one shared hash less.
-                need = max(1, need - (length - len(short)))
                 whole = mix(s * np.uint64(0x9E3779B97F4A7C15))
-                out.append((n, need, *(int(x) for x in signed(np.array([whole.sum(dtype=np.uint64), np.bitwise_xor.reduce(mix(whole)), mix(s[:length]).sum(dtype=np.uint64)])))))
-                prefixes.append(short.view(np.int32))
-            counts = np.fromiter(map(len, prefixes), np.int64, len(prefixes))
-            flat = np.concatenate(prefixes) if prefixes else np.zeros(0, np.int32)
-            columns = [np.array(c, np.int64) for c in zip(*out, strict=True)] if out else [np.zeros(0, np.int64)] * 5
-            yield pa.RecordBatch.from_arrays([rows.column(key), *(pa.array(c) for c in columns), list_array(flat, counts, pa.int32())], [key, "n", "need", "f1", "f2", "p", "prefix"])
+                (long, a), (short, b) = _prefixes(s, percent) if len(s) else [(np.zeros(0, np.int32), 0)] * 2
+                shown = mix((long if len(long) else short).view(np.uint32).astype(np.uint64) + np.uint64(1))
+                names = np.array([whole.sum(dtype=np.uint64), np.bitwise_xor.reduce(mix(whole)), shown.sum(dtype=np.uint64)], np.uint64)
+                out.append((len(s), a, b, *signed(names).tolist()))
+                parity.append(np.packbits(np.bincount((s & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS).astype(np.uint8) & 1).tobytes())
+                prefixes[0].append(long)
+                prefixes[1].append(short)
+            columns = [np.array(c, np.int64) for c in zip(*out, strict=True)]
+            lists = [list_array(np.concatenate(x), np.fromiter(map(len, x), np.int64, len(x)), pa.int32()) for x in prefixes]
+            yield pa.RecordBatch.from_arrays([rows.column(key), *(pa.array(c) for c in columns), *lists, pa.array(parity, pa.binary())], [key, "n", "need0", "need1", "f1", "f2", "p", "prefix0", "prefix1", "parity"])
 
     kind = docs.schema[key].dataType.simpleString()
-    return map_arrow(docs.select(key, text), run, f"`{key}` {kind}, n long, need long, f1 long, f2 long, p long, prefix array<int>")
+    return map_arrow(docs.select(key, text), run, f"`{key}` {kind}, n long, need0 long, need1 long, f1 long, f2 long, p long, prefix0 array<int>, prefix1 array<int>, parity binary")
 
 
 def _sets(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
@@ -92,6 +110,62 @@ def similar(percent: int) -> F.Column:
     return (100 * F.least("m", "n") >= percent * F.greatest("m", "n")) & (F.col("m") > 0)
 
 
+def _torn(rows: DataFrame) -> DataFrame:
+    """The rows of those hashes that still occur in several components."""
+    torn = rows.groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("many")).where("lo < hi").select("h", "many")
+    return rows.join(torn, "h").select("h", "many", "unit", "n", "c", "parity")
+
+
+def _across(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs (u, v) of units that share a hash and may be similar, judged by sizes and parity maps.
+
+    Units of one component are not compared again. No pair is written that the maps rule out, so
+    what comes out follows the similar pairs and not the squares of the groups.
+    """
+    kind = rows.schema["unit"].dataType.simpleString()
+    dealt = rows.withColumn("blocks", F.ceil(F.col("many") / BLOCK).cast("int")).withColumn("blk", F.pmod(F.xxhash64("unit"), F.col("blocks")).cast("int"))
+    dealt = dealt.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("o")).select("h", F.least("blk", "o").alias("x"), F.greatest("blk", "o").alias("y"), "blk", "unit", "n", "c", "parity")
+
+    def compared(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray] | None:
+        unit, n, c, blk = (part.column(k).to_numpy() for k in ("unit", "n", "c", "blk"))
+        own = part.column("x")[0].as_py() == part.column("y")[0].as_py()
+        bits = np.frombuffer(b"".join(part.column("parity").to_pylist()), np.uint64).reshape(len(unit), -1)
+        one = np.arange(len(unit)) if own else np.flatnonzero(blk == part.column("x")[0].as_py())
+        two = one if own else np.flatnonzero(blk != part.column("x")[0].as_py())
+        us, vs = [], []
+        for i in one.tolist():
+            j = two[(two > i) if own else slice(None)]
+            j = j[(c[j] != c[i]) & (100 * np.minimum(n[j], n[i]) >= percent * np.maximum(n[j], n[i]))]
+            apart = np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype=np.int64)
+            j = j[apart * (100 + percent) <= (100 - percent) * (n[j] + n[i])]
+            us.append(np.full(len(j), unit[i]))
+            vs.append(unit[j])
+        u, v = np.concatenate(us), np.concatenate(vs)
+        return (np.minimum(u, v), np.maximum(u, v)) if len(u) else None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        last = None
+
+        def done() -> Iterator[pa.RecordBatch]:
+            if sum(h.num_rows for h in held) > 1 and (found := compared(pa.Table.from_batches(held).combine_chunks().to_batches()[0])):
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], ["u", "v"])
+
+        for batch in batches:
+            keys = np.stack([batch.column(k).to_numpy().astype(np.int64) for k in ("h", "x", "y")], axis=1)
+            cut = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
+            for a, b in zip(cut[:-1], cut[1:], strict=True):
+                if b > a:
+                    if tuple(keys[a]) != last:
+                        yield from done()
+                        held, last = [], tuple(keys[a])
+                    held.append(batch.slice(a, b - a))
+        yield from done()
+
+    part = ["h", "x", "y"]
+    return map_arrow(dealt.repartition(*part).sortWithinPartitions(*part), run, f"u {kind}, v {kind}")
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
     """`key, n_shingles, component_id` for every row; the component is the least key that links reach.
 
@@ -101,14 +175,17 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     """
     rows = stage(shingle_table(docs, key, text, words, percent), "shingles")
     linked = rows.where(F.col("n") > 0).where(F.col(key).isNotNull())
-    units = stage(linked.groupBy("n", "p", "f1", "f2").agg(F.min(key).alias("unit")), "units")
+    units = stage(linked.groupBy("n", "p", "f1", "f2").agg(F.min(key).alias("unit"), F.min("parity").alias("parity")), "units")
     sizes = units.groupBy("n", "p").agg(F.min("unit").alias("grp"), F.count("*").alias("k"))
     members = stage(units.join(sizes, ["n", "p"]).select("unit", "grp", "n", "k"), "members")
-    groups = stage(linked.groupBy("n", "p").agg(F.min(key).alias("grp"), F.min("need").alias("need"), F.min_by("prefix", key).alias("prefix")), "groups")
-
-    hashes = groups.select("grp", "n", "need", F.explode("prefix").alias("h"))
+    # Of each group one document shows its prefixes.
+    heads = members.where("unit = grp").select("grp", "n")
+    shown = linked.join(if_small(heads.select(F.col("grp").alias(key))), key, "left_semi")
+    hashes = shown.select(F.col(key).alias("grp"), F.explode(F.concat("prefix0", "prefix1")).alias("h"))
     shared = hashes.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
-    left = hashes.join(shared, "h").groupBy("grp").agg(F.first("n").alias("n"), F.first("need").alias("need"), F.sort_array(F.collect_list(F.struct("df", "h"))).alias("q"))
+    left = hashes.join(shared, "h").groupBy("grp", F.col("h").bitwiseAND(F.lit(1)).alias("kind")).agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("q"))
+    need = shown.select(F.col(key).alias("grp"), "n", "need0", "need1").dropDuplicates(["grp"])
+    left = left.join(need, "grp").withColumn("need", F.when(F.col("kind") == 0, F.col("need0")).otherwise(F.col("need1")))
     rare = left.where(F.size("q") >= F.col("need")).select("grp", "n", F.explode(F.expr("slice(q, 1, cast(size(q) - need + 1 as int))")).alias("x"))
     rare = stage(rare.select("grp", "n", F.col("x.h").alias("h")), "rare")
     again = rare.groupBy("h").agg(F.min(F.struct("n", "grp")).alias("pivot"), F.count("*").alias("c")).where("c > 1")
@@ -125,24 +202,17 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     found = stage(components(links), "found")
     placed = members.join(found, F.col("unit") == F.col("node"), "left").select("unit", "grp", "n", F.coalesce("component", "unit").alias("c"))
     placed = stage(placed.join(if_small(wanted), "unit", "left_semi"), "placed")
-    kept = rare.join(again.select("h"), "h", "left_semi")
-    by_hash = kept.join(placed.select("grp", "c").distinct(), "grp").select("h", "grp", "n", "c")
-    torn = by_hash.groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("h")
-    by_hash = stage(by_hash.join(torn, "h", "left_semi"), "torn")
-    sides = by_hash.select("h", "c").distinct()
-    across = sides.join(sides.select("h", F.col("c").alias("d")), "h").where("c < d")
-    across = across.join(by_hash.select("h", "c", F.col("grp").alias("g1"), "n"), ["h", "c"]).join(by_hash.select("h", F.col("c").alias("d"), F.col("grp").alias("g2"), F.col("n").alias("m")), ["h", "d"])
-    across = across.where(similar(percent)).select("g1", "c", "g2", "d").distinct()
-    in_group = placed.groupBy("grp").agg(F.collect_set("c").alias("cs")).where(F.size("cs") > 1).select("grp", F.explode("cs").alias("c"))
-    in_group = in_group.join(in_group.select("grp", F.col("c").alias("d")), "grp").where("c < d").select(F.col("grp").alias("g1"), "c", F.col("grp").alias("g2"), "d")
-    one = placed.select(F.col("grp").alias("g1"), "c", F.col("unit").alias("u"))
-    two = placed.select(F.col("grp").alias("g2"), F.col("c").alias("d"), F.col("unit").alias("v"))
-    more = stage(across.unionAll(in_group).join(one, ["g1", "c"]).join(two, ["g2", "d"]).select("u", "v").distinct(), "residual")
+    of = placed.join(units.select("unit", "parity"), "unit")
+    shown = rare.join(again.select("h"), "h", "left_semi").select(F.col("h").cast("long").alias("h"), "grp").join(of.select("grp", "unit", "n", "c", "parity"), "grp")
+    # Members of one group meet under a number of their own.
+    inner = of.select(F.col("grp").cast("long").alias("h"), "grp", "unit", "n", "c", "parity")
+    rows_of = _torn(shown).unionByName(_torn(inner).withColumn("h", F.lit(1 << 62) - F.col("h")))
+    more = stage(_across(stage(rows_of, "torn"), percent).distinct(), "residual")
     asked = more.select(F.explode(F.array("u", "v")).alias("unit")).distinct()
     links = links.unionAll(_verified(more, sets.join(if_small(asked), "unit", "left_semi"), percent))
 
     final = units.join(components(links), F.col("unit") == F.col("node"), "left").select("n", "p", "f1", "f2", F.coalesce("component", "unit").alias("component_id"))
-    out = rows.drop("prefix", "need").join(final, ["n", "p", "f1", "f2"], "left")
+    out = rows.select(key, "n", "p", "f1", "f2").join(final, ["n", "p", "f1", "f2"], "left")
     own = F.when(F.col(key).isNull(), F.lit(None)).otherwise(F.coalesce("component_id", key))
     return out.select(key, F.col("n").alias("n_shingles"), own.alias("component_id"))
 
