@@ -3,11 +3,12 @@
 A full suffix array of a corpus sorts a rank pair for every byte in every round. Here a round only
 holds positions that are still open. Every window of 200 bytes shows, in its first half, the same
 content-chosen position wherever it occurs (the least 16-byte rank); windows that follow each other
-and share it are one row. Round one ranks the pair of the two halves of the 101 bytes after that
+and share it are one row. Round one ranks the pair of the two parts of the 101 bytes after that
 position: all windows of a row hold them, so a row whose rank is unique has no repeated window. Of
-the other rows, those whose whole range occurs again are settled together, and round two ranks
-pairs at twice the offset, 200 bytes, window by window, for what remains. Ranks are 64-bit names
-of equal strings, paired (128 bits) where they decide.
+the other rows, those whose whole range occurs again are settled together. What remains goes on in
+bands of 25 windows with ranks of the 176 bytes that a band has in common, and then window by
+window with ranks of all 200. Ranks are 64-bit names of equal strings, paired (128 bits) where they
+decide.
 """
 
 from __future__ import annotations
@@ -66,15 +67,19 @@ def _rows(docs: DataFrame, length: int, with_places: bool) -> DataFrame:
                 continue
             second = ByteSums(data, second=True)
             yield pa.RecordBatch.from_arrays(
-                [core, rows.column("_id").take(pa.array(text)), pa.array((lo - offsets[text]).astype(np.int32)), pa.array((hi - offsets[text]).astype(np.int32)), pa.array(signed(sums.of(lo, hi + length))), pa.array(signed(second.of(lo, hi + length)))],
-                ["core", "_id", "lo", "hi", "a", "b"],
+                [core, rows.column("_id").take(pa.array(text)), pa.array((lo - offsets[text]).astype(np.int32)), pa.array((hi - offsets[text]).astype(np.int32)), pa.array((chosen - offsets[text]).astype(np.int32)), pa.array(signed(sums.of(lo, hi + length))), pa.array(signed(second.of(lo, hi + length)))],
+                ["core", "_id", "lo", "hi", "c", "a", "b"],
             )
 
-    return map_arrow(docs, run, "core long, _id long, lo int, hi int, a long, b long" if with_places else "core long")
+    return map_arrow(docs, run, "core long, _id long, lo int, hi int, c int, a long, b long" if with_places else "core long")
 
 
-def _windows(docs: DataFrame, length: int) -> DataFrame:
-    """A rank pair for each single window of the wanted ranges (column `ranges`)."""
+def _finer(docs: DataFrame, length: int, band: int) -> DataFrame:
+    """The wanted ranges (column `ranges`) in bands of windows at like distances from the chosen position.
+
+    Rows are as those of _rows, with `known` handed on. All windows of a band share its core,
+    whichever of them a range has; a band of one window has the whole window as its core.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in pieces(batches, "_t"):
@@ -82,17 +87,36 @@ def _windows(docs: DataFrame, length: int) -> DataFrame:
             wanted = rows.column("ranges")
             counts = np.diff(np.asarray(wanted.offsets))
             spans = wanted.flatten()
-            text = np.repeat(np.arange(len(counts)), counts)
-            lo, hi = (spans.field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in (0, 1))
-            many = hi - lo + 1
-            p = np.repeat(lo - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
-            text = np.repeat(text, many)
-            at = p + offsets[text]
+            lo, hi, c = (spans.field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in ("lo", "hi", "c"))
+            near, far = (c - hi) // band, (c - lo) // band
+            many = far - near + 1
+            at = np.repeat(np.arange(len(lo)), many)
+            k = near[at] + np.arange(len(at)) - np.repeat(np.cumsum(many) - many, many)
+            text = np.repeat(np.arange(len(counts)), counts)[at]
+            lo, hi, c = np.maximum(lo[at], c[at] - k * band - band + 1), np.minimum(hi[at], c[at] - k * band), c[at]
+            base = offsets[text]
+            a, z = base + c - k * band, base + c - k * band - band + 1 + length
             yield pa.RecordBatch.from_arrays(
-                [rows.column("_id").take(pa.array(text)), pa.array(p.astype(np.int32)), pa.array(_pair(sums, at, at + length // 2, at + length)), pa.array(_pair(second, at, at + length // 2, at + length))], ["_id", "p", "a", "b"]
+                [pa.array(_pair(sums, a, a + length // 2, z)), rows.column("_id").take(pa.array(text)), *(pa.array(x.astype(np.int32)) for x in (lo, hi, c)), pa.array(signed(sums.of(base + lo, base + hi + length))), pa.array(signed(second.of(base + lo, base + hi + length))), spans.field("known").take(pa.array(at))],
+                ["core", "_id", "lo", "hi", "c", "a", "b", "known"],
             )
 
-    return map_arrow(docs, run, "_id long, p int, a long, b long")
+    return map_arrow(docs, run, "core long, _id long, lo int, hi int, c int, a long, b long, known boolean")
+
+
+def _settled(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """Ranges that occur again as a whole (hi is the last window's start), and those to be looked at more finely.
+
+    Where some range of a core stands alone, its windows may still be those of other ranges: it
+    goes on, with one range of each other kind of that core. `known` ranges are settled already
+    and only serve as partners.
+    """
+    classes = stage(rows.groupBy("core", "a", "b").agg(F.count("*").alias("n"), F.bool_and("known").alias("known"), F.min(F.struct("_id", "lo", "hi", "c")).alias("one")), name)
+    alone = F.col("n") == 1
+    cores = classes.groupBy("core").agg(F.max(alone & ~F.col("known")).alias("unsettled"), F.count("*").alias("kinds")).where("unsettled and kinds > 1").select("core")
+    wanted = classes.join(cores, "core").select("one.*", (~alone | F.col("known")).alias("known"))
+    whole = rows.join(classes.where(~alone).select("core", "a", "b"), ["core", "a", "b"]).select("_id", "lo", "hi")
+    return whole, stage(wanted.groupBy("_id", "lo", "hi", "c").agg(F.bool_and("known").alias("known")), f"{name}-open")
 
 
 def _runs(spans: DataFrame) -> DataFrame:
@@ -122,7 +146,7 @@ def _runs(spans: DataFrame) -> DataFrame:
 
 def _per_document(spans: DataFrame, how_many: int) -> DataFrame:
     """The ranges of each document in one row; broadcast only if all of them are counted to be few."""
-    one = spans.groupBy("_id").agg(F.sort_array(F.collect_list(F.struct("lo", "hi"))).alias("ranges"))
+    one = spans.groupBy("_id").agg(F.sort_array(F.collect_list(F.struct(*[c for c in ("lo", "hi", "c", "known") if c in spans.columns]))).alias("ranges"))
     return F.broadcast(one) if how_many <= SMALL_ROWS else one.hint("merge")
 
 
@@ -133,18 +157,14 @@ def repeated_runs(docs: DataFrame, key: str = "doc_id", text: str = "text", leng
     """
     named = docs.select(F.xxhash64(key, text).alias("_id"), F.col(text).alias("_t")).where(F.octet_length("_t") >= length)
     again = _rows(named, length, False).groupBy("core").count().where("count > 1").select("core")
-    open_rows = stage(_rows(named, length, True).join(again, "core"), "open-ranges")
-    classes = stage(open_rows.groupBy("core", "a", "b").agg(F.count("*").alias("n"), F.min(F.struct("_id", "lo", "hi")).alias("one")), "range-classes")
-    # Where some range of a core stands alone, its windows are compared with those of one range of each other kind.
-    unsettled = classes.groupBy("core").agg(F.min("n").alias("least"), F.count("*").alias("kinds")).where("least = 1 and kinds > 1").select("core")
-    wanted = stage(classes.join(unsettled, "core").select("one.*").distinct(), "wanted-ranges")
-    asked = named.join(_per_document(wanted, wanted.count()), "_id")
-    windows = stage(_windows(asked, length), "windows")
-    twice = windows.groupBy("a", "b").count().where("count > 1").select("a", "b")
-    single = windows.join(twice, ["a", "b"]).select("_id", F.col("p").alias("lo"), (F.col("p") + length).alias("hi"))
-    settled = classes.where("n > 1").select("core", "a", "b")
-    whole = open_rows.join(settled, ["core", "a", "b"]).select("_id", "lo", (F.col("hi") + length).alias("hi"))
-    return stage(_runs(whole.unionAll(single)), "runs")
+    rows = stage(_rows(named, length, True).join(again, "core").withColumn("known", F.lit(False)), "ranges")
+    whole, wanted = _settled(rows, "range-classes")
+    for band in (length // 8, 1):
+        asked = named.join(_per_document(wanted, wanted.count()), "_id")
+        rows = stage(_finer(asked, length, band), f"bands-{band}")
+        found, wanted = _settled(rows, f"band-classes-{band}")
+        whole = whole.unionAll(found)
+    return stage(_runs(whole.withColumn("hi", F.col("hi") + length)), "runs")
 
 
 def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
