@@ -7,8 +7,8 @@ and share it are one row. Round one ranks the pair of the two parts of the 101 b
 position: all windows of a row hold them, so a row whose rank is unique has no repeated window. Of
 the other rows, those whose whole range occurs again are settled together. What remains goes on in
 bands of 25 windows with ranks of the 176 bytes that a band has in common, and then window by
-window with ranks of all 200. Ranks are 64-bit names of equal strings, paired (128 bits) where they
-decide.
+window with ranks of all 200. Ranks are 64-bit names of equal strings; ranges are the same if two of
+them agree, of the core and of the whole range.
 """
 
 from __future__ import annotations
@@ -65,13 +65,12 @@ def _rows(docs: DataFrame, length: int, with_places: bool) -> DataFrame:
             if not with_places:
                 yield pa.RecordBatch.from_arrays([core], ["core"])
                 continue
-            second = ByteSums(data, second=True)
             yield pa.RecordBatch.from_arrays(
-                [core, rows.column("_id").take(pa.array(text)), pa.array((lo - offsets[text]).astype(np.int32)), pa.array((hi - offsets[text]).astype(np.int32)), pa.array((chosen - offsets[text]).astype(np.int32)), pa.array(signed(sums.of(lo, hi + length))), pa.array(signed(second.of(lo, hi + length)))],
-                ["core", "_id", "lo", "hi", "c", "a", "b"],
+                [core, rows.column("_id").take(pa.array(text)), pa.array((lo - offsets[text]).astype(np.int32)), pa.array((hi - offsets[text]).astype(np.int32)), pa.array((chosen - offsets[text]).astype(np.int32)), pa.array(signed(sums.of(lo, hi + length)))],
+                ["core", "_id", "lo", "hi", "c", "a"],
             )
 
-    return map_arrow(docs, run, "core long, _id long, lo int, hi int, c int, a long, b long" if with_places else "core long")
+    return map_arrow(docs, run, "core long, _id long, lo int, hi int, c int, a long" if with_places else "core long")
 
 
 def _finer(docs: DataFrame, length: int, band: int) -> DataFrame:
@@ -83,7 +82,7 @@ def _finer(docs: DataFrame, length: int, band: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in pieces(batches, "_t"):
-            sums, second = ByteSums(data), ByteSums(data, second=True)
+            sums = ByteSums(data)
             wanted = rows.column("ranges")
             counts = np.diff(np.asarray(wanted.offsets))
             spans = wanted.flatten()
@@ -97,11 +96,11 @@ def _finer(docs: DataFrame, length: int, band: int) -> DataFrame:
             base = offsets[text]
             a, z = base + c - k * band, base + c - k * band - band + 1 + length
             yield pa.RecordBatch.from_arrays(
-                [pa.array(_pair(sums, a, a + length // 2, z)), rows.column("_id").take(pa.array(text)), *(pa.array(x.astype(np.int32)) for x in (lo, hi, c)), pa.array(signed(sums.of(base + lo, base + hi + length))), pa.array(signed(second.of(base + lo, base + hi + length))), spans.field("known").take(pa.array(at))],
-                ["core", "_id", "lo", "hi", "c", "a", "b", "known"],
+                [pa.array(_pair(sums, a, a + length // 2, z)), rows.column("_id").take(pa.array(text)), *(pa.array(x.astype(np.int32)) for x in (lo, hi, c)), pa.array(signed(sums.of(base + lo, base + hi + length))), spans.field("known").take(pa.array(at))],
+                ["core", "_id", "lo", "hi", "c", "a", "known"],
             )
 
-    return map_arrow(docs, run, "core long, _id long, lo int, hi int, c int, a long, b long, known boolean")
+    return map_arrow(docs, run, "core long, _id long, lo int, hi int, c int, a long, known boolean")
 
 
 def _settled(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
@@ -111,11 +110,11 @@ def _settled(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
     goes on, with one range of each other kind of that core. `known` ranges are settled already
     and only serve as partners.
     """
-    classes = stage(rows.groupBy("core", "a", "b").agg(F.count("*").alias("n"), F.bool_and("known").alias("known"), F.min(F.struct("_id", "lo", "hi", "c")).alias("one")), name)
+    classes = stage(rows.groupBy("core", "a").agg(F.count("*").alias("n"), F.bool_and("known").alias("known"), F.min(F.struct("_id", "lo", "hi", "c")).alias("one")), name)
     alone = F.col("n") == 1
     cores = classes.groupBy("core").agg(F.max(alone & ~F.col("known")).alias("unsettled"), F.count("*").alias("kinds")).where("unsettled and kinds > 1").select("core")
     wanted = classes.join(cores, "core").select("one.*", (~alone | F.col("known")).alias("known"))
-    whole = rows.join(classes.where(~alone).select("core", "a", "b"), ["core", "a", "b"]).select("_id", "lo", "hi")
+    whole = rows.join(classes.where(~alone).select("core", "a"), ["core", "a"]).select("_id", "lo", "hi")
     return whole, stage(wanted.groupBy("_id", "lo", "hi", "c").agg(F.bool_and("known").alias("known")), f"{name}-open")
 
 
@@ -150,12 +149,21 @@ def _per_document(spans: DataFrame, how_many: int) -> DataFrame:
     return F.broadcast(one) if how_many <= SMALL_ROWS else one.hint("merge")
 
 
-def repeated_runs(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
-    """`_id, lo, hi`: maximal runs of bytes covered by a string of `length` bytes that starts elsewhere too.
+def _identity(docs: DataFrame, key: str, text: str) -> F.Column:
+    """What tells documents apart: the key if it is a number that is never null or repeated, else a hash of key and text.
 
-    `_id` is xxhash64 of key and text: rows that repeat a key and a text have the same runs.
+    Sorted numbers pack well in shuffles. Rows that repeat key and text have the same runs anyway.
     """
-    named = docs.select(F.xxhash64(key, text).alias("_id"), F.col(text).alias("_t")).where(F.octet_length("_t") >= length)
+    if docs.schema[key].dataType.simpleString() in ("bigint", "int"):
+        n = docs.agg(F.count("*").alias("rows"), F.count_distinct(key).alias("keys")).first()
+        if n["rows"] == n["keys"]:
+            return F.col(key).cast("long")
+    return F.xxhash64(key, text)
+
+
+def repeated_runs(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
+    """`_id, lo, hi`: maximal runs of bytes covered by a string of `length` bytes that starts elsewhere too."""
+    named = docs.select(_identity(docs, key, text).alias("_id"), F.col(text).alias("_t")).where(F.octet_length("_t") >= length)
     again = _rows(named, length, False).groupBy("core").count().where("count > 1").select("core")
     rows = stage(_rows(named, length, True).join(again, "core").withColumn("known", F.lit(False)), "ranges")
     whole, wanted = _settled(rows, "range-classes")
@@ -175,7 +183,7 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     null keys are documents of their own.
     """
     runs = repeated_runs(docs, key, text, length)
-    named = docs.select(key, F.xxhash64(key, text).alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("_t"))
+    named = docs.select(key, _identity(docs, key, text).alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("_t"))
     joined = named.join(_per_document(runs, runs.count()), "_id", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
