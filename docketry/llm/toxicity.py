@@ -63,7 +63,7 @@ def in_sample(key: str) -> F.Column:
     return F.crc32(F.col(key).cast("string").cast("binary")) % 5 != 0
 
 
-def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", per_class: int = 4000, rounds: int = 200) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", per_class: int = 2000, rounds: int = 200) -> Model:
     """Fit on at most `per_class` labelled documents of each class, taken in the order of a hash of the key.
 
     Classes are weighted back to their share among the labels. Held-out rows, null labels and null
@@ -101,15 +101,22 @@ def _fit(rows: pa.Table, shares: dict[int, int], rounds: int, rare: int = 4, spa
     y = rows["y"].to_numpy()
     words, sizes = (pc.list_flatten(rows[c]).to_numpy() for c in ("words", "sizes"))
     per_doc = pc.list_value_length(rows["sizes"]).to_numpy()
-    doc_of_sentence = np.repeat(np.arange(len(y)), per_doc)
-    sentence = np.repeat(np.arange(len(sizes)), sizes * (1 + len(STEMS)))
-    # Words of few documents tell nothing that would hold elsewhere.
-    pairs = np.unique(doc_of_sentence[sentence].astype(np.int64) << FEATURE_BITS | words)
-    common = np.bincount(pairs & ((1 << FEATURE_BITS) - 1), minlength=1 << FEATURE_BITS) >= rare
-    common[0] = False
-    kept = common[words]
-    used, column = np.unique(words[kept], return_inverse=True)
-    sentence = sentence[kept]
+    doc_of_sentence = np.repeat(np.arange(len(y), dtype=np.int32), per_doc)
+    sentence = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes * (1 + len(STEMS)))
+    # Words of few documents tell nothing that would hold elsewhere. Counted in parts, to spare memory.
+    common = np.zeros(1 << FEATURE_BITS, np.int32)
+    ends = np.searchsorted(doc_of_sentence[sentence], np.arange(0, len(y) + 200, 200))
+    for a, z in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+        pairs = np.unique(doc_of_sentence[sentence[a:z]].astype(np.int64) << FEATURE_BITS | words[a:z])
+        common += np.bincount(pairs & ((1 << FEATURE_BITS) - 1), minlength=1 << FEATURE_BITS).astype(np.int32)
+    common[0] = 0
+    kept = common[words] >= rare
+    words, sentence = words[kept], sentence[kept]
+    used = np.flatnonzero(common >= rare)
+    place = np.zeros(1 << FEATURE_BITS, np.int32)
+    place[used] = np.arange(len(used), dtype=np.int32)
+    column = place[words]
+    del words, kept
     seen = np.bincount(y, minlength=2)
     cost = np.where(y == 1, shares[1] / seen[1], shares[0] / seen[0])
     cost = cost / cost.sum()
