@@ -101,7 +101,7 @@ def dialogue_from_turns(
     ready pieces.
     """
     line = F.concat(F.col(role), F.lit(": "), F.col(text))
-    ordered = lambda c: F.array_join(F.transform(F.array_sort(c), lambda p: p["line"]), " ")
+    ordered = lambda c: F.array_join(F.transform(F.sort_array(c), lambda p: p["line"]), " ")
     pieces = turns.groupBy(key, F.floor(F.col(turn) / chunk).alias("_chunk")).agg(
         ordered(F.collect_list(F.struct(F.col(turn).alias("at"), line.alias("line")))).alias("_piece")
     )

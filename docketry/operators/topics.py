@@ -107,7 +107,7 @@ def apply_phrases(df: DataFrame, found: DataFrame, key: str, tokens: str, into:
     runs = hits.select(key, "pos").withColumn("_run", F.col("pos") - F.row_number().over(w))
     first = F.min("pos").over(Window.partitionBy(key, "_run"))
     taken = runs.withColumn("_from", first).filter((F.col("pos") - F.col("_from")) % 2 == 0)
-    places = taken.groupBy(key).agg(F.array_sort(F.collect_list("pos")).alias("_at"))
+    places = taken.groupBy(key).agg(F.sort_array(F.collect_list("pos")).alias("_at"))
 
     t, m = F.col(tokens), F.col("_at")
     after = lambda i: F.coalesce(F.get(m, i - 1) + 2, F.lit(0))
@@ -133,7 +133,7 @@ def term_counts(tokens: Column) -> Column:
             ),
         )
 
-    return F.when(F.size(tokens) > 0, bind(F.array_sort(tokens), count))
+    return F.when(F.size(tokens) > 0, bind(F.sort_array(tokens), count))
 
 
 def vocabulary(
@@ -207,7 +207,7 @@ def coherence(docs: DataFrame, key: str, tokens: str, topics: DataFrame, digits:
     words = docs.select(key, F.explode(F.array_distinct(F.col(tokens))).alias("term"))
     # A topic holds a fixed, small number of words, and so does each group of this aggregate.
     present = words.join(topics, "term").groupBy(key, "topic").agg(
-        F.array_sort(F.collect_list(F.struct("rank", "term"))).alias("t")
+        F.sort_array(F.collect_list(F.struct("rank", "term"))).alias("t")
     )
     couples = F.flatten(
         F.transform(

@@ -91,7 +91,7 @@ def oversample(minority: DataFrame, flags: Sequence[str], key: str, copies: int
         .withColumn("_others", F.col("_near_rows") - (F.col("_flip") == 0).cast("int"))
     )
     ordered = near.groupBy("_code").agg(
-        F.array_sort(F.collect_list(F.struct("_dist", "_near", "_others"))).alias("_list")
+        F.sort_array(F.collect_list(F.struct("_dist", "_near", "_others"))).alias("_list")
     )
     # Place of the last neighbour that each pattern in the list brings.
     reach = F.transform(

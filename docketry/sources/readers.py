@@ -49,7 +49,7 @@ def read_tsv_with_sidecar(spark: SparkSession, data_path: str, header_path: str,
     )
 
 
-def read_lookup(spark: SparkSession, path: str, table: str) -> DataFrame:
+def read_lookup(spark: SparkSession, path: str | list[str], table: str) -> DataFrame:
     """Two string columns named after the table."""
     schema = T.StructType([T.StructField(f"{table}id", T.StringType()), T.StructField(table, T.StringType())])
     return spark.read.schema(schema).option("sep", "\t").csv(path)
@@ -77,22 +77,32 @@ def table_of(path: Column) -> Column:
 
 
 def dispatch(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """Route every table below a folder to its loader.
+    """Route every table below a folder to its loader; a table's locations are read as one table.
 
-    Only the distinct table names with their folders come to the driver, not the files.
+    Each location of hits goes with the header of its own folder, or with the only header there is.
+    What comes to the driver is a row per table and folder, or per file where files are not parts.
     """
     written = F.col("path").rlike("/part-[^/]*$")
     named = list_files(spark, root).select(
         table_of(F.col("path")).alias("table"),
         F.when(written, F.regexp_extract("path", r"^(.*)/[^/]+$", 1)).otherwise(F.col("path")).alias("location"),
     )
-    places = {r["table"]: r["location"] for r in named.select("table", "location").distinct().collect()}
+    places: dict[str, list[str]] = {}
+    for r in named.distinct().sort("table", "location").collect():
+        places.setdefault(r["table"], []).append(r["location"])
+    headers = places.get("column_headers", [])
+    beside = {h.rsplit("/", 1)[0]: h for h in headers}
     loaded = {}
-    for table, location in places.items():
+    for table, locations in places.items():
         if table == "hit_data":
-            loaded[table] = read_tsv_with_sidecar(spark, location, places["column_headers"])
+            for location in locations:
+                header = beside.get(location.rsplit("/", 1)[0]) or (headers[0] if len(headers) == 1 else None)
+                if header is None:
+                    raise ValueError(f"no header for {location}")
+                part = read_tsv_with_sidecar(spark, location, header)
+                loaded[table] = loaded[table].unionByName(part, allowMissingColumns=True) if table in loaded else part
         elif table != "column_headers":
-            loaded[table] = read_lookup(spark, location, table)
+            loaded[table] = read_lookup(spark, locations, table)
     return loaded
 
 

@@ -49,6 +49,9 @@ class VersionedTable:
         number = int(found[-1][1:].split("-")[0]) + 1 if found else 0
         target = f"{self.path}/v{number:010d}-{uuid.uuid4().hex[:8]}"
         df.write.parquet(target)
+        after = self.versions()
+        if [v for v in after if v not in found] != [target.rsplit("/", 1)[1]]:
+            raise RuntimeError(f"another writer committed a version of {self.path} meanwhile; its rows are not in {target}")
         return self.spark.read.schema(df.schema).parquet(target)
 
     def upsert(self, source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -71,16 +74,13 @@ def upsert_by_key(target: DataFrame, source: DataFrame, keys: Sequence[str]) ->
 class ChangeTable:
     """Changes partitioned by effective date; writing a date again replaces only that date."""
 
-    def __init__(self, spark: SparkSession, path: str, partition: str, files_per_partition: int | None = 5):
+    def __init__(self, spark: SparkSession, path: str, partition: str):
         self.spark, self.path, self.partition = spark, path.rstrip("/"), partition
-        self.files = files_per_partition
 
     def write(self, df: DataFrame, first_load: bool = False) -> None:
         """``first_load`` replaces the whole table."""
-        if self.files and not first_load:
-            df = df.coalesce(self.files)
         mode = "static" if first_load else "dynamic"
-        df.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(self.partition).parquet(self.path)
+        df.hint("rebalance", self.partition).write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(self.partition).parquet(self.path)
 
     def read(self) -> DataFrame:
         return self.spark.read.parquet(self.path).withColumn(self.partition, F.col(self.partition).cast("date"))
