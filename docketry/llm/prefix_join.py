@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +33,10 @@ SHORT = (256, 320)
 LONG_SPARE, SPARE = 60, 8
 #: Bits of a set's parity map: each hash flips one. Two maps differ in no more bits than the sets do in hashes.
 BITS = 512
+#: Of the hashes that a group shares with others, each of its rows carries so many least ones.
+FIRSTS = 16
+#: Fills the lists of those with fewer.
+NONE = (1 << 31) - 1
 #: Rows of a hash that one step compares with each other; more are cut into blocks, pair by pair.
 BLOCK = 2000
 
@@ -113,22 +118,26 @@ def similar(percent: int) -> F.Column:
 def _torn(rows: DataFrame) -> DataFrame:
     """The rows of those hashes that still occur in several components."""
     torn = rows.groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("many")).where("lo < hi").select("h", "many")
-    return rows.join(torn, "h").select("h", "many", "unit", "n", "c", "parity")
+    return rows.join(torn, "h").select("h", "many", "unit", "n", "c", "parity", "firsts")
 
 
 def _across(rows: DataFrame, percent: int) -> DataFrame:
     """Pairs (u, v) of units that share a hash and may be similar, judged by sizes and parity maps.
 
     Units of one component are not compared again. No pair is written that the maps rule out, so
-    what comes out follows the similar pairs and not the squares of the groups.
+    what comes out follows the similar pairs and not the squares of the groups. A pair is left to a
+    lower hash where the `firsts` of both show one: the least hash that two units share always
+    writes it, and seldom does another.
     """
     kind = rows.schema["unit"].dataType.simpleString()
     dealt = rows.withColumn("blocks", F.ceil(F.col("many") / BLOCK).cast("int")).withColumn("blk", F.pmod(F.xxhash64("unit"), F.col("blocks")).cast("int"))
-    dealt = dealt.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("o")).select("h", F.least("blk", "o").alias("x"), F.greatest("blk", "o").alias("y"), "blk", "unit", "n", "c", "parity")
+    dealt = dealt.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("o")).select("h", F.least("blk", "o").alias("x"), F.greatest("blk", "o").alias("y"), "blk", "unit", "n", "c", "parity", "firsts")
 
     def compared(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray] | None:
         unit, n, c, blk = (part.column(k).to_numpy() for k in ("unit", "n", "c", "blk"))
         own = part.column("x")[0].as_py() == part.column("y")[0].as_py()
+        h = part.column("h")[0].as_py()
+        firsts = pc.list_flatten(part.column("firsts")).to_numpy().reshape(len(unit), FIRSTS)
         bits = np.frombuffer(b"".join(part.column("parity").to_pylist()), np.uint64).reshape(len(unit), -1)
         one = np.arange(len(unit)) if own else np.flatnonzero(blk == part.column("x")[0].as_py())
         two = one if own else np.flatnonzero(blk != part.column("x")[0].as_py())
@@ -138,6 +147,8 @@ def _across(rows: DataFrame, percent: int) -> DataFrame:
             j = j[(c[j] != c[i]) & (100 * np.minimum(n[j], n[i]) >= percent * np.maximum(n[j], n[i]))]
             apart = np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype=np.int64)
             j = j[apart * (100 + percent) <= (100 - percent) * (n[j] + n[i])]
+            for lower in firsts[i][(firsts[i] < h) & (firsts[i] != NONE)].tolist():
+                j = j[(firsts[j] != lower).all(axis=1)]
             us.append(np.full(len(j), unit[i]))
             vs.append(unit[j])
         u, v = np.concatenate(us), np.concatenate(vs)
@@ -202,10 +213,14 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     found = stage(components(links), "found")
     placed = members.join(found, F.col("unit") == F.col("node"), "left").select("unit", "grp", "n", F.coalesce("component", "unit").alias("c"))
     placed = stage(placed.join(if_small(wanted), "unit", "left_semi"), "placed")
-    of = placed.join(units.select("unit", "parity"), "unit")
-    shown = rare.join(again.select("h"), "h", "left_semi").select(F.col("h").cast("long").alias("h"), "grp").join(of.select("grp", "unit", "n", "c", "parity"), "grp")
+    met = rare.join(again.select("h"), "h", "left_semi").select("grp", "h")
+    # Two units of different components that both have a hash keep it in _torn, so any hash of these lists will do.
+    fill = F.array_repeat(F.lit(NONE), FIRSTS)
+    firsts = met.groupBy("grp").agg(F.slice(F.concat(F.sort_array(F.collect_set("h")), fill), 1, FIRSTS).alias("firsts"))
+    of = placed.join(units.select("unit", "parity"), "unit").join(firsts, "grp", "left").withColumn("firsts", F.coalesce("firsts", fill))
+    shown = met.select(F.col("h").cast("long").alias("h"), "grp").join(of.select("grp", "unit", "n", "c", "parity", "firsts"), "grp")
     # Members of one group meet under a number of their own.
-    inner = of.select(F.col("grp").cast("long").alias("h"), "grp", "unit", "n", "c", "parity")
+    inner = of.select(F.col("grp").cast("long").alias("h"), "grp", "unit", "n", "c", "parity", "firsts")
     rows_of = _torn(shown).unionByName(_torn(inner).withColumn("h", F.lit(1 << 62) - F.col("h")))
     more = stage(_across(stage(rows_of, "torn"), percent).distinct(), "residual")
     asked = more.select(F.explode(F.array("u", "v")).alias("unit")).distinct()
