@@ -147,8 +147,9 @@ def _across(rows: DataFrame, percent: int) -> DataFrame:
             j = j[(c[j] != c[i]) & (100 * np.minimum(n[j], n[i]) >= percent * np.maximum(n[j], n[i]))]
             apart = np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype=np.int64)
             j = j[apart * (100 + percent) <= (100 - percent) * (n[j] + n[i])]
-            for lower in firsts[i][(firsts[i] < h) & (firsts[i] != NONE)].tolist():
-                j = j[(firsts[j] != lower).all(axis=1)]
+            if len(j):
+                lower = firsts[i][(firsts[i] < h) & (firsts[i] != NONE)]
+                j = j[(firsts[j][:, :, None] != lower).all(axis=(1, 2))]
             us.append(np.full(len(j), unit[i]))
             vs.append(unit[j])
         u, v = np.concatenate(us), np.concatenate(vs)
