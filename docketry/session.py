@@ -8,6 +8,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Session setting: deal text tables out to so many partitions. Unset, they are read as they are split.
+TEXT_PARTITIONS = "spark.docketry.textPartitions"
+
 
 def local_session(cores: int | str = 8, app: str = "docketry") -> SparkSession:
     """A local session for tests and the bench; on a cluster the submitter brings the session."""
@@ -19,6 +22,7 @@ def local_session(cores: int | str = 8, app: str = "docketry") -> SparkSession:
         .config("spark.driver.memory", os.environ.get("BENCH_DRIVER_MEMORY", "16g"))
         .config("spark.sql.shuffle.partitions", str(cores if str(cores).isdigit() else 8))
         .config("spark.sql.adaptive.enabled", "true")
+        .config(TEXT_PARTITIONS, str(cores if str(cores).isdigit() else 8))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
@@ -43,20 +47,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use every core on an input of few splits; an input with enough splits is left alone.
+def text_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """A table whose rows carry long texts.
 
-    Text work is bound by the processor, and a small file is one split, so one task. Large
-    inputs come in far more splits than cores and never meet this shuffle.
+    Text work is bound by the processor. A session over small files, which are one task each, can
+    ask for more partitions by TEXT_PARTITIONS; nothing looks at sizes or cores by itself.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
-def text_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """A table whose rows carry long texts, ready for work that is bound by the processor."""
     df = table(spark, sf_dir, name)
-    return spread(df.select(*columns) if columns else df)
+    df = df.select(*columns) if columns else df
+    parts = spark.conf.get(TEXT_PARTITIONS, None)
+    return df.repartition(int(parts)) if parts else df
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
