@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import calendar
 import re
-from datetime import datetime
+from datetime import date
 
 from docketry.functions import fixed_values as V
 
@@ -50,25 +51,29 @@ def bad_address(text):
         if not (re.search(V.POSTAL_IN_WINDOW, window) and placed(window)):
             return True
     for m in re.finditer(V.POSTAL_STANDALONE, text):
-        end = m.end()
-        window = text[end - 80 : end + 5] if end - 80 > 0 and end + 5 < len(text) else text[: end + 1]
-        if not placed(window):
+        near = range(m.end() - 80, m.end() + 5)
+        if near.start < 1 or near.stop >= len(text):
+            near = range(m.end() + 1)
+        if not placed("".join(c for k, c in enumerate(text) if k in near)):
             return True
     return False
 
 
+MONTHS = {name.lower(): n for n, name in enumerate(calendar.month_abbr)}
+
+
 def dates(text):
-    layouts = ["%b %d %Y", "%d %b %Y", "%m %d %Y", "%Y %m %d", "%d %b %Y"]
+    """Every layout says what its three parts are; the day, in one or two digits, must be one that its month has in that year."""
     out = set()
-    for (pattern, _), layout in zip(V.DATE_FORMATS, layouts):
-        for found in set(re.findall(pattern.replace("(?U)", ""), text)):
-            clean = re.sub(r"\s+", " ", re.sub(r"[^\w\s]", " ", found)).strip()
-            if pattern.endswith(r"-\d{2}\s"):
-                clean = clean[:-2] + "20" + clean[-2:]
-            try:
-                out.add(datetime.strptime(clean, layout).date())
-            except ValueError:
-                pass
+    for (pattern, _), order in zip(V.DATE_FORMATS, ("bdY", "dbY", "mdY", "Ymd", "dbY")):
+        for found in re.finditer(pattern.replace("(?U)", ""), text):
+            part = dict(zip(order, re.findall(r"\w+", found.group())))
+            if len(part) < 3 or len(part["d"]) > 2:
+                continue
+            month = MONTHS.get(part["b"].lower(), 0) if "b" in part else int(part["m"])
+            year = int(part["Y"]) + (2000 if len(part["Y"]) == 2 else 0)
+            if year and 1 <= month <= 12 and 1 <= int(part["d"]) <= calendar.monthrange(year, month)[1]:
+                out.add(date(year, month, int(part["d"])))
     return sorted(out)
 
 
