@@ -101,7 +101,7 @@ def cdc_latest_per_key(spark, sf):
 
 @query(
     "cdc_row_hash",
-    """SELECT c_custkey, md5(concat_ws(chr(31), cast(c_custkey AS varchar), trim(upper(c_name)), coalesce(trim(upper(nullif(c_mktsegment, 'HOUSEHOLD'))), '*'))) AS hash_id
+    """SELECT c_custkey, md5(concat_ws(chr(31), '=' || cast(c_custkey AS varchar), '=' || trim(upper(c_name)), coalesce('=' || trim(upper(nullif(c_mktsegment, 'HOUSEHOLD'))), '*'))) AS hash_id
       FROM customer""",
 )
 def cdc_row_hash(spark, sf):

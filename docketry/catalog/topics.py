@@ -63,7 +63,7 @@ def remove_stopwords(spark, sf):
 
 @query("word_frequencies", TOKEN_CTE + " SELECT term AS word, count(*) AS n FROM words GROUP BY term ORDER BY n DESC, term LIMIT 5000")
 def word_frequencies(spark, sf):
-    return topics.word_frequencies(tokens(spark, sf), "tokens")
+    return topics.word_frequencies(tokens(spark, sf), "tokens", top=5000)
 
 
 def _phrase_sql(source: str, minimum: int, threshold: float, name: str) -> str:
@@ -120,13 +120,13 @@ VOCAB_CTE = TOKEN_CTE + """, vocab AS (SELECT term, count(DISTINCT doc_id) AS df
 
 @query("vocab_filter", VOCAB_CTE + " SELECT term, df, n FROM vocab")
 def vocab_filter(spark, sf):
-    return topics.vocabulary(tokens(spark, sf), "tokens")
+    return topics.vocabulary(tokens(spark, sf), "tokens", keep=10_000)
 
 
 @query("bag_of_words", VOCAB_CTE + " SELECT doc_id, term, cast(count(*) AS int) AS n FROM words WHERE term IN (SELECT term FROM vocab) GROUP BY doc_id, term")
 def bag_of_words(spark, sf):
     words = staged_tokens(spark, sf)
-    return topics.bag_of_words(words, "doc_id", "tokens", topics.vocabulary(words, "tokens"))
+    return topics.bag_of_words(words, "doc_id", "tokens", topics.vocabulary(words, "tokens", keep=10_000))
 
 
 TFIDF_SQL = TOKEN_CTE + """, tf AS (SELECT doc_id, term, count(*) AS n FROM words GROUP BY ALL),
@@ -136,7 +136,7 @@ TFIDF_SQL = TOKEN_CTE + """, tf AS (SELECT doc_id, term, count(*) AS n FROM word
 
 @query("tfidf", TFIDF_SQL)
 def tfidf(spark, sf):
-    return topics.tfidf(staged_tokens(spark, sf), "doc_id", "tokens", digits=6)
+    return topics.tfidf(staged_tokens(spark, sf), "doc_id", "tokens", max_features=5000, digits=6)
 
 
 def class_weights(topic_sql: str) -> str:
@@ -181,7 +181,7 @@ def topic_coherence(spark, sf):
 def lda_topics(spark, sf):
     """Topic words per topic count, with the coherence by which one of them is chosen."""
     words = staged_tokens(spark, sf)
-    models, _, vocab = topics.lda_models(words, "tokens")
+    models, _, vocab = topics.lda_models(words, "tokens", keep=10_000)
     out = None
     for k, model in models.items():
         best = stage(topics.lda_terms(model, vocab), "lda-terms")
@@ -193,13 +193,13 @@ def lda_topics(spark, sf):
 
 @query("topic_assignment")
 def topic_assignment(spark, sf):
-    models, counted, _ = topics.lda_models(staged_tokens(spark, sf), "tokens", ks=(4,))
+    models, counted, _ = topics.lda_models(staged_tokens(spark, sf), "tokens", ks=(4,), keep=10_000)
     return topics.assign_topics(models[4], counted, "doc_id")
 
 
 @query("nmf_topics")
 def nmf_topics(spark, sf):
-    weights = stage(topics.tfidf(staged_tokens(spark, sf), "doc_id", "tokens"), "weights")
+    weights = stage(topics.tfidf(staged_tokens(spark, sf), "doc_id", "tokens", max_features=5000), "weights")
     return topics.nmf_terms(weights, "doc_id", 4)
 
 

@@ -72,7 +72,7 @@ def sample_fraction(spark, sf):
 
 @query("shuffle_rows", "SELECT o_orderkey, o_totalprice FROM orders")
 def shuffle_rows(spark, sf):
-    return training.shuffle_rows(table(spark, sf, "orders").select("o_orderkey", "o_totalprice"), 443)
+    return training.shuffle_rows(table(spark, sf, "orders").select("o_orderkey", "o_totalprice"), "o_orderkey", 443)
 
 
 @query(

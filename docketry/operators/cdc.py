@@ -24,8 +24,8 @@ def data_columns(df: DataFrame) -> list[str]:
 
 
 def row_hash(columns: Sequence[str]) -> Column:
-    """md5 over trimmed, upper-cased values; a separator and a null mark keep rows apart."""
-    texts = [F.coalesce(F.trim(F.upper(F.col(c).cast("string"))), F.lit("*")) for c in columns]
+    """md5 over trimmed, upper-cased values; a separator keeps columns apart, a sign before every value keeps nulls apart from texts."""
+    texts = [F.coalesce(F.concat(F.lit("="), F.trim(F.upper(F.col(c).cast("string")))), F.lit("*")) for c in columns]
     return F.md5(F.concat_ws("\x1f", *texts))
 
 

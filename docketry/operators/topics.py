@@ -53,10 +53,15 @@ def remove_stopwords(tokens: Column, words: Sequence[str]) -> Column:
     return F.filter(tokens, lambda t: ~t.isin(list(words)))
 
 
-def word_frequencies(df: DataFrame, tokens: str, top: int = 5000) -> DataFrame:
+def word_frequencies(df: DataFrame, tokens: str, top: int | None = None) -> DataFrame:
+    """Words by how often they occur; all of them unless `top` is given."""
     words = df.select(explode_once(tokens).alias("word")).filter(F.col("word").isNotNull())
     counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    return counts.orderBy(F.desc("n"), "word").limit(top)
+    return _first(counts, top, F.desc("n"), "word")
+
+
+def _first(df: DataFrame, n: int | None, *order: Column | str) -> DataFrame:
+    return df if n is None else df.orderBy(*order).limit(n)
 
 
 def pairs(tokens: Column) -> Column:
@@ -137,9 +142,9 @@ def term_counts(tokens: Column) -> Column:
 
 
 def vocabulary(
-    df: DataFrame, tokens: str, min_df: int = 2, max_df: float = 0.9, keep: int = 10_000
+    df: DataFrame, tokens: str, min_df: int = 2, max_df: float = 0.9, keep: int | None = None
 ) -> DataFrame:
-    """(term, df, n) of terms in at least ``min_df`` and at most a share of documents, most frequent first."""
+    """(term, df, n) of terms in at least ``min_df`` and at most a share of documents; all unless `keep` is given."""
     total = df.agg(F.count(F.lit(1)).cast("double").alias("d")).scalar()
     counts = (
         df.select(F.explode(term_counts(F.col(tokens))).alias("c"))
@@ -148,7 +153,7 @@ def vocabulary(
         .withColumn("_d", total)
     )
     kept = counts.filter((F.col("df") >= min_df) & (F.col("df") <= F.col("_d") * max_df)).drop("_d")
-    return kept.orderBy(F.desc("df"), "term").limit(keep)
+    return _first(kept, keep, F.desc("df"), "term")
 
 
 def bag_of_words(df: DataFrame, key: str, tokens: str, vocab: DataFrame) -> DataFrame:
@@ -157,7 +162,7 @@ def bag_of_words(df: DataFrame, key: str, tokens: str, vocab: DataFrame) -> Data
     return counted.join(vocab.select("term"), "term", "left_semi").select(key, "term", "n")
 
 
-def tfidf(df: DataFrame, key: str, tokens: str, max_features: int = 5000, digits: int = 9) -> DataFrame:
+def tfidf(df: DataFrame, key: str, tokens: str, max_features: int | None = None, digits: int = 9) -> DataFrame:
     """(key, term, weight): count times ln(N/df)+1, rows normed to sum 1.
 
     An L2 norm before the L1 norm is a factor that cancels out, so it is left out.
@@ -165,7 +170,7 @@ def tfidf(df: DataFrame, key: str, tokens: str, max_features: int = 5000, digits
     total = df.agg(F.count(F.lit(1)).cast("double").alias("d")).scalar()
     counted = df.select(key, F.explode(term_counts(F.col(tokens))).alias("c")).select(key, "c.term", "c.n")
     terms = counted.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("n").alias("_n"))
-    top = terms.orderBy(F.desc("_n"), "term").limit(max_features).withColumn("_d", total)
+    top = _first(terms, max_features, F.desc("_n"), "term").withColumn("_d", total)
     idf = top.select("term", (F.log(F.col("_d") / F.col("df")) + 1).alias("_idf"))
     weighted = counted.join(idf, "term").withColumn("_w", F.col("n") * F.col("_idf"))
     row = F.sum("_w").over(Window.partitionBy(key))
@@ -240,7 +245,7 @@ def coherence(docs: DataFrame, key: str, tokens: str, topics: DataFrame, digits:
 
 def lda_models(
     df: DataFrame, tokens: str, ks: Sequence[int] = (2, 3, 4, 5), passes: int = 10, seed: int = 1111,
-    min_df: int = 2, max_df: float = 0.9, keep: int = 10_000,
+    min_df: int = 2, max_df: float = 0.9, *, keep: int,
 ) -> tuple[dict[int, LDAModel], DataFrame, list[str]]:
     """One LDA model per topic count over the same counts, with the counts and the vocabulary."""
     vectorizer = CountVectorizer(inputCol=tokens, outputCol="counts", minDF=min_df, maxDF=max_df, vocabSize=keep).fit(df)

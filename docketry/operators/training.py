@@ -42,8 +42,9 @@ def sample_fraction(df: DataFrame, fraction: float, key: str, salt: str = "") ->
     return df.filter(bucket < int(round(fraction * SCALE)))
 
 
-def shuffle_rows(df: DataFrame, seed: int) -> DataFrame:
-    return df.orderBy(F.rand(seed))
+def shuffle_rows(df: DataFrame, key: str, seed: int) -> DataFrame:
+    """Rows in an order by hash of key and seed, the same after a retry and for any partitioning."""
+    return df.orderBy(F.xxhash64(F.lit(seed), key), key)
 
 
 def label_and_union(positives: DataFrame, others: DataFrame, fraction: float, key: str, label: str = "label") -> DataFrame:
