@@ -31,9 +31,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token files of all documents, and where each document lies in them."""
+    """Token files of all documents in the order of the mixed files, and where each document lies in them."""
     path = scratch_dir(spark, "corpus-tokens")
-    token_files.write_tokens(docs, path, tokenizer_file())
+    placed = docs.select("doc_id", "text", token_files.file_place().alias("_part"), F.col("_metadata.row_index").alias("_row"))
+    token_files.write_tokens(placed, path, tokenizer_file(), order=("_part", "_row"))
     return token_files.token_index(spark, path)
 
 

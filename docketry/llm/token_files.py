@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docketry.llm.byte_bpe import encoder, ids_column
@@ -49,15 +49,18 @@ def write_tokens(
     row_group_bytes: int = 32 << 20,
     page_bytes: int = 256 << 10,
     page_rows: int = 2000,
+    order: tuple[str, ...] | None = None,
 ) -> None:
     """Write ids of all documents below `path`, in ascending order of `key` over the numbered parts.
 
+    `order` names other columns of `docs` to write by; their values lead over the numbered parts.
     `encoding` is dictionary (falls back by itself where a dictionary doesn't pay) or delta.
     Rows with a null key come first; an empty table gives files without rows.
     """
+    by = [key] if order is None else list(order)
     if encoding not in ("dictionary", "delta"):
         raise ValueError(f"unknown encoding {encoding}")
-    ordered = docs.select(key, text).repartitionByRange(F.col(key)).sortWithinPartitions(key)
+    ordered = docs.select(key, text, *[c for c in by if c not in (key, text)]).repartitionByRange(*by).sortWithinPartitions(*by)
     (
         encoded(ordered, tokenizer, key, text, end_id)
         .write.option("parquet.block.size", row_group_bytes)
@@ -70,12 +73,16 @@ def write_tokens(
     )
 
 
-def read_tokens(spark: SparkSession, path: str) -> DataFrame:
-    """The stored rows with `part` and `row`: their file's place in the order and their place in it."""
+def file_place() -> Column:
+    """The place of a row's file in the order of the numbered parts that a write left."""
     name = F.regexp_extract("_metadata.file_name", r"^part-(\d+)-", 1).cast("long")
     more = F.regexp_extract("_metadata.file_name", r"-c(\d+)\.", 1)
-    part = (name * 1_000_000 + F.when(more == "", 0).otherwise(more.cast("long"))).alias("part")
-    return spark.read.parquet(path).select("*", part, F.col("_metadata.row_index").alias("row"))
+    return name * 1_000_000 + F.when(more == "", 0).otherwise(more.cast("long"))
+
+
+def read_tokens(spark: SparkSession, path: str) -> DataFrame:
+    """The stored rows with `part` and `row`: their file's place in the order and their place in it."""
+    return spark.read.parquet(path).select("*", file_place().alias("part"), F.col("_metadata.row_index").alias("row"))
 
 
 def token_index(spark: SparkSession, path: str, key: str = "doc_id") -> DataFrame:
