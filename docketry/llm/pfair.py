@@ -83,7 +83,7 @@ def interleave(docs: DataFrame, weights: dict[str | None, float] | None = None,
 
     Columns: key, source, `block` (the source's block in which the row starts), `release` and
     `deadline` of that block in slots of its cycle, `cycle`, `slot`, and `position`: the block's
-    place in the whole mix. `weights` gives the target of each source; None means the square root
+    place in the whole mix, in which places within a longer row stay empty. `weights` gives the target of each source; None means the square root
     of its total size. `size` is a row's size, by default 1, of which `block` fill a block.
 
     A source that runs out gives its last blocks in its last cycle; the others share the next
@@ -93,16 +93,18 @@ def interleave(docs: DataFrame, weights: dict[str | None, float] | None = None,
     size = F.lit(1) if size is None else size
     narrow = docs.select(F.col(key).alias("_k"), F.col(source).alias("_src"), F.greatest(F.coalesce(size, F.lit(0)), F.lit(0)).alias("_z"))
     ranked = stage(_ranked(narrow, "_k", "_src", F.col("_z")).select("_k", "_src", "before", "_size"), "ranked")
-    # Blocks that no row starts in don't take a slot: blocks are numbered as they are used.
-    found = stage(ranked.select("_src", F.floor(F.col("before") / block).alias("raw")).distinct(), "blocks")
-    by_source = found.groupBy("_src").agg(F.count("*").alias("n")).limit(MOST_SOURCES + 1).collect()
+    # A row takes all the slots that its size covers and stands in the first of them.
+    found = stage(ranked.select("_src", F.floor(F.col("before") / block).alias("block")).distinct(), "blocks")
+    by_source = ranked.groupBy("_src").agg(F.sum("_size").alias("total"), F.max(F.floor(F.col("before") / block)).alias("last"))
+    by_source = by_source.limit(MOST_SOURCES + 1).collect()
     if len(by_source) > MOST_SOURCES:
         raise ValueError(f"more than {MOST_SOURCES} sources")
     if not by_source:
         return ranked.select(F.col("_k").alias(key), F.col("_src").alias(source), *[F.lit(0).cast("bigint").alias(c) for c in ("block", "release", "deadline", "cycle", "slot", "position")])
-    blocks = {r._src: r.n for r in by_source}
+    # What the last row has over whole blocks takes no slot of its own.
+    blocks = {r._src: max(r.last + 1, r.total // block) for r in by_source}
     if weights is None:
-        weights = {s: math.sqrt(n) for s, n in blocks.items()}
+        weights = {r._src: math.sqrt(max(1, r.total)) for r in by_source}
     if missing := set(blocks) - set(weights):
         raise ValueError(f"no weight for {sorted(map(str, missing))}")
     share = shares({s: weights[s] for s in blocks}, slots)
@@ -121,33 +123,21 @@ def interleave(docs: DataFrame, weights: dict[str | None, float] | None = None,
     share_map = spark.createDataFrame([(s, share[s]) for s in names], "_s string, share int")
     starts = [f for _, f, b, _, _ in kinds if b]
 
-    numbered = _numbered(found)
-    numbered = numbered.join(F.broadcast(share_map), F.col("_src").eqNullSafe(F.col("_s"))).drop("_s")
-    numbered = numbered.select("_src", "raw", "block", F.floor(F.col("block") / F.col("share")).alias("cycle"), (F.col("block") % F.col("share")).alias("_in"))
+    numbered = found.join(F.broadcast(share_map), F.col("_src").eqNullSafe(F.col("_s"))).drop("_s")
+    numbered = numbered.select("_src", "block", F.floor(F.col("block") / F.col("share")).alias("cycle"), (F.col("block") % F.col("share")).alias("_in"))
     kind = F.size(F.filter(F.array(*[F.lit(x) for x in starts]), lambda x: x <= F.col("cycle"))) - 1
     # The schedules have at most (2 sources + 1) x slots rows, whatever the documents are.
     at = numbered.withColumn("_kind", kind).join(F.broadcast(table), (F.col("_kind") == F.col("kind")) & F.col("_src").eqNullSafe(F.col("_s")) & (F.col("_in") == F.col("k")))
     w, j = F.greatest("a", F.lit(1)), F.col("k").cast("bigint")
     at = at.select(
-        F.col("_src").alias("_bs"), F.col("raw").alias("_raw"), "block", F.floor(j * F.col("b") / w).alias("release"), F.ceil((j + 1) * F.col("b") / w).alias("deadline"), "cycle", F.col("slot").cast("bigint").alias("slot"),
+        F.col("_src").alias("_bs"), "block", F.floor(j * F.col("b") / w).alias("release"), F.ceil((j + 1) * F.col("b") / w).alias("deadline"), "cycle", F.col("slot").cast("bigint").alias("slot"),
         (F.col("at") + (F.col("cycle") - F.col("first")) * F.col("b") + F.col("slot")).alias("position"),
     )
-    rows = ranked.withColumn("_raw0", F.floor(F.col("before") / block))
-    rows = rows.join(at, F.col("_src").eqNullSafe(F.col("_bs")) & (F.col("_raw0") == F.col("_raw")))
+    rows = ranked.withColumn("_own", F.floor(F.col("before") / block))
+    rows = rows.join(at, F.col("_src").eqNullSafe(F.col("_bs")) & (F.col("_own") == F.col("block")))
     return rows.select(F.col("_k").alias(key), F.col("_src").alias(source), "block", "release", "deadline", "cycle", "slot", "position")
 
 
-def _numbered(found: DataFrame) -> DataFrame:
-    """The blocks of each source numbered from 0 without gaps, range by range."""
-    rows = found.withColumn("_r", F.floor(F.col("raw") / RANGE_ROWS))
-    totals = rows.groupBy("_src", "_r").agg(F.count("*").alias("_n"))
-    ahead = Window.partitionBy("_src").orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select(F.col("_src").alias("_s"), F.col("_r").alias("_q"), F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_ahead"))
-    inside = F.row_number().over(Window.partitionBy("_src", "_r").orderBy("raw")) - 1
-    rows = rows.withColumn("_inside", inside).join(totals, F.col("_src").eqNullSafe(F.col("_s")) & (F.col("_r") == F.col("_q")))
-    return rows.select("_src", "raw", (F.col("_inside") + F.col("_ahead")).alias("block"))
-
-
 def mixed(docs: DataFrame, weights: dict[str | None, float] | None = None, key: str = "doc_id", source: str = "source", **options) -> DataFrame:
     """All rows and columns of `docs` in the order of the mix: sorted within ranges of positions that follow each other."""
     places = interleave(docs.select(key, source, *_needed(docs, options)), weights, key, source, **options)

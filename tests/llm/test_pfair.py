@@ -62,3 +62,15 @@ def test_mix_follows_positions(spark):
     where = {r.doc_id: r.position for r in pfair.interleave(docs, block=5).collect()}
     order = [where[r.doc_id] for r in pfair.mixed(docs, block=5).collect()]
     assert order == sorted(order)
+
+
+def test_long_documents_take_the_slots_they_cover(spark):
+    rows = [(i, "x" * 400, "en", "long", 0) for i in range(30)] + [(100 + i, "x" * 20, "en", "short", 0) for i in range(600)]
+    docs = spark.createDataFrame(rows, DOC)
+    got = pfair.interleave(docs, {"long": 1.0, "short": 1.0}, size=F.length("text"), block=40, slots=20).collect()
+    assert sorted(r.doc_id for r in got) == sorted(r[0] for r in rows)
+    # 12 000 characters each: at every place the sources are a document and a block apart at most.
+    had = {"long": 0, "short": 0}
+    for r in sorted(got, key=lambda r: (r.position, r.doc_id)):
+        had[r.source] += 400 if r.source == "long" else 20
+        assert abs(had["long"] - had["short"]) <= 400 + 2 * 40
