@@ -4,7 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from conftest import values
+from rows import values
 from docketry.operators import documents, scoring
 from docketry.functions import masking
 from docketry.operators import projections

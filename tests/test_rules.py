@@ -8,7 +8,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import values
+from rows import values
 from plain_rules import amount, bad_address, dates, email_in, fax_in, made_up, paid_by_cash, phone_in, token_after
 from docketry.catalog.base import claim_docs
 from docketry.functions import fixed_values as V

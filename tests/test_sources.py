@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from conftest import values
+from rows import values
 from docketry.operators import calls, runlog, surveys
 from docketry.sources import readers, sinks
 

@@ -7,7 +7,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import values
+from rows import values
 from docketry.operators import topics, training
 
 WORDS = ["new", "york", "city", "hall", "a", "b", "c", "d"]
