@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketry.llm import compact_windows, decontamination, length_histogram, pfair, prefix_doubling, prefix_join, role_repair, sign_hashing, token_files, toxicity
+from docketry.llm import compact_windows, decontamination, length_histogram, pfair, prefix_doubling, prefix_join, role_repair, sign_hashing, token_files, toxicity, turn_alignment
 from docketry.session import scratch_dir, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +79,9 @@ def op2_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_role_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return role_repair.rendered(role_repair.repair(table(spark, sf_dir, "conversations")))
+
+
+@query
+def op13_turn_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = turn_alignment.damaged(table(spark, sf_dir, "conversations"))
+    return turn_alignment.repair(turns).withColumnRenamed("conv", "conv_id")
