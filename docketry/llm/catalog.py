@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketry.llm import compact_windows, decontamination, length_histogram, pfair, prefix_doubling, prefix_join, role_repair, sign_hashing, token_files, toxicity, turn_alignment
+from docketry.llm import compact_windows, decontamination, length_histogram, pfair, pii_bootstrap, prefix_doubling, prefix_join, role_repair, sign_hashing, spelling_tries, token_files, toxicity, turn_alignment
 from docketry.session import scratch_dir, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,3 +85,13 @@ def op4_role_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_turn_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = turn_alignment.damaged(table(spark, sf_dir, "conversations"))
     return turn_alignment.repair(turns).withColumnRenamed("conv", "conv_id")
+
+
+@query
+def op12_spelling_tries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_tries.variants(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_bootstrap.personal_data(table(spark, sf_dir, "documents"))
