@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from docketry.catalog.base import query
 from docketry.operators import calendar, calls, projections, runlog, surveys
 from docketry.session import scratch_dir, table, text_table
-from docketry.sources.tables import VersionedTable, upsert_by_key
+from docketry.sources.keyed import KeyedTable
 
 def k():
     return F.get_json_object("props", "$.k").cast("bigint")
@@ -265,10 +265,10 @@ LOG_CTE = f"""WITH writes AS (SELECT user_id || '/' || cast(ts AS date) AS id, t
 @query("run_log_upsert", LOG_CTE + ' SELECT * FROM log')
 def run_log_upsert(spark, sf):
     """The log up to mid-month is stored first; the runs of the later days are merged into it."""
-    writes, stored = log_writes(spark, sf), VersionedTable(spark, scratch_dir(spark, "run-log"))
+    writes, stored = log_writes(spark, sf), KeyedTable(spark, scratch_dir(spark, "run-log"), ["id"], buckets=8)
     early = F.col("Date") <= F.lit("2024-01-15").cast("date")
-    stored.upsert(runlog.fold_run_log(writes.filter(early)), ["id"])
-    return stored.upsert(runlog.fold_run_log(writes.filter(F.col("Date") >= F.lit("2024-01-15").cast("date"))), ["id"])
+    stored.upsert(runlog.fold_run_log(writes.filter(early)))
+    return stored.upsert(runlog.fold_run_log(writes.filter(F.col("Date") >= F.lit("2024-01-15").cast("date"))))
 
 
 def water_marks(spark, sf):
@@ -303,12 +303,28 @@ def watermark_select(spark, sf):
     return runlog.watermark_value(water_marks(spark, sf), "timestamp")
 
 
-@query("watermark_upsert", MARK_CTE + " SELECT * FROM marks")
+@query(
+    "watermark_upsert",
+    MARK_CTE
+    + """ SELECT pipelinerunid, 'load ' || pipelinerunid AS pipelinerunname, 'events' AS "TableName", 'stream' AS "SourceName", '/events' AS "ParamPathName", 'ts' AS "CheckColumn",
+      'timestamp' AS "CheckColumnType", "WatermarkValue_start_ts", "WatermarkValue_end_ts", "Status", 60 AS "RunTime", "Count", 'rows: ' || cast("Count" AS varchar) AS "LogOutput",
+      CASE WHEN "Status" = 'error' THEN 'too many errors' ELSE '' END AS "Error_Txt", "WatermarkValue_end_ts" AS "CreateTs" FROM marks""",
+)
 def watermark_upsert(spark, sf):
-    """Every run first enters as starting without an end, then its final row replaces that."""
-    final = water_marks(spark, sf)
-    opened = final.withColumns({"WatermarkValue_end_ts": F.lit(""), "Status": F.lit("starting"), "Count": F.lit(0).cast("bigint")})
-    return upsert_by_key(opened, final, ["pipelinerunid"])
+    """Every run first enters as starting without an end; its final row then replaces what a run may change, and keeps what it was entered with."""
+    names = {"TableName": "events", "SourceName": "stream", "ParamPathName": "/events", "CheckColumn": "ts", "CheckColumnType": "timestamp"}
+    marks = water_marks(spark, sf).withColumns({"pipelinerunname": F.concat(F.lit("load "), "pipelinerunid"), **{c: F.lit(v) for c, v in names.items()}})
+    failed = F.when(F.col("Status") == "error", "too many errors").otherwise("")
+    told = {"RunTime": F.lit(60), "LogOutput": F.concat(F.lit("rows: "), F.col("Count").cast("string")), "Error_Txt": failed, "CreateTs": F.col("WatermarkValue_end_ts")}
+    final = marks.withColumns(told)
+    opened = marks.withColumns(
+        {"WatermarkValue_end_ts": F.lit(""), "Status": F.lit("starting"), "Count": F.lit(0).cast("bigint"), "RunTime": F.lit(0), "LogOutput": F.lit(""), "Error_Txt": F.lit(""), "CreateTs": F.lit("")}
+    )
+    stored = KeyedTable(spark, scratch_dir(spark, "marks"), ["pipelinerunid"], buckets=4)
+    entered = F.col("pipelinerunid") <= "2024-01-20"  # the other runs were never entered and come with all their columns
+    stored.upsert(opened.filter(entered))
+    renamed = final.withColumns({c: F.when(entered, "changed").otherwise(F.col(c)) for c in ("pipelinerunname", *names)})
+    return runlog.finish_marks(stored, renamed)
 
 
 @query(

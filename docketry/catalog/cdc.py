@@ -13,11 +13,13 @@ from docketry.functions import masking
 from docketry.functions.fixed_values import EFF, OPS
 from docketry.operators import cdc
 from docketry.plans import change_flow
-from docketry.session import stage, table
+from docketry.session import scratch_dir, stage, table
 
 KEYS = ["client"]
 RUN_TS, BATCH_ID = "2024-03-02 01:00:00", 7
 LAST, LAST_BUT_ONE = "2001-01-01", "2000-01-01"
+#: A batch that no landing has.
+NEVER = "2001-06-01"
 
 LANDING_CTE = """WITH landings AS (SELECT cast(date_trunc('year', o_orderdate) AS date) AS batch_date, o_custkey AS client,
    max(o_orderpriority) AS priority, max(o_orderstatus) AS status FROM orders GROUP BY ALL),
@@ -265,16 +267,25 @@ def mask_date_month(spark, sf):
 @query(
     "audit_counts",
     HISTORY_CTE
-    + f""", n AS (SELECT count(*) AS s FROM landings WHERE batch_date = DATE '{LAST}'),
-      t AS (SELECT 'Changes' AS step, count(*) AS c FROM changes WHERE eff = DATE '{LAST}' UNION ALL SELECT 'History', count(*) FROM hist
-        UNION ALL SELECT 'Current', count(*) FROM (SELECT *, row_number() OVER (PARTITION BY client ORDER BY eff DESC) AS rn FROM changes) WHERE rn = 1 AND op <> 'D')
-      SELECT step || m AS step, DATE '{LAST}' AS batch_date, s AS source_rows, c AS target_rows, 'SUCCESS' AS status FROM t, n, (VALUES (''), ('-MASK')) v(m)""",
+    + f""", s AS (SELECT count(*) FILTER (batch_date = DATE '{LAST_BUT_ONE}') AS s0, count(*) FILTER (batch_date = DATE '{LAST}') AS s1 FROM landings),
+      c AS (SELECT count(*) AS c1, count(*) FILTER (op <> 'D') AS opened FROM changes WHERE eff = DATE '{LAST}'),
+      t AS (SELECT 'Changes' AS step, DATE '{LAST_BUT_ONE}' AS batch_date, s0 AS source_rows, s0 AS target_rows FROM s
+        UNION ALL SELECT 'History', DATE '{LAST_BUT_ONE}', s0, s0 FROM s UNION ALL SELECT 'Current', DATE '{LAST_BUT_ONE}', s0, s0 FROM s
+        UNION ALL SELECT 'Changes', DATE '{LAST}', s1, c1 FROM s, c UNION ALL SELECT 'History', DATE '{LAST}', s1, s0 + opened FROM s, c
+        UNION ALL SELECT 'Current', DATE '{LAST}', s1, s1 FROM s),
+      d AS (SELECT unnest([DATE '{LAST_BUT_ONE}', DATE '{LAST}', DATE '{NEVER}']) AS batch_date), n AS (SELECT unnest(['Changes', 'History', 'Current']) AS step)
+      SELECT step || m AS step, batch_date, status, source_rows, target_rows FROM
+        (SELECT step, batch_date, 'SUCCESS' AS status, source_rows, target_rows FROM t UNION ALL SELECT step, batch_date, 'STARTED', NULL, NULL FROM n, d
+         UNION ALL SELECT step, DATE '{NEVER}', 'FAILED', 0, 0 FROM n), (VALUES (''), ('-MASK')) v(m)""",
 )
 def audit_counts(spark, sf):
-    changes, landing = stage(changes_of(spark, sf), "changes"), stage(landing_of(spark, sf, LAST), "landing")
-    steps = {
-        "Changes": (landing, changes.filter(F.col(EFF) == F.lit(LAST).cast("date"))),
-        "History": (landing, cdc.history(changes, KEYS)),
-        "Current": (landing, cdc.current(changes, KEYS, RUN_TS, BATCH_ID)),
-    }
-    return cdc.audit_counts(steps, LAST, mask=True)
+    """The journal of two batches and of one that fails, since its landing holds keys twice."""
+    flow = change_flow.ChangeFlow(spark, scratch_dir(spark, "audited"), KEYS, mask_plan="mask:priority")
+    last = landing_of(spark, sf, LAST)
+    flow.first_load(landing_of(spark, sf, LAST_BUT_ONE), LAST_BUT_ONE, RUN_TS, BATCH_ID)
+    flow.batch(last, LAST, RUN_TS, BATCH_ID)
+    try:
+        flow.batch(last.unionByName(last), NEVER, RUN_TS, BATCH_ID)
+    except ValueError:
+        pass  # the journal tells
+    return flow.journal.read().select("step", "batch_date", "status", "source_rows", "target_rows")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from docketry.catalog.base import CLAIM_CTE, VISIT_CTE, claim_docs, query, sql_hits, visit_docs
 from docketry.functions import fixed_values as V
+from docketry.functions.sql_predicates import register_predicates
 from docketry.operators import fields
 from docketry.session import text_table
 
@@ -89,6 +90,23 @@ _token_pred(
 _token_pred("pred_consecutive", "consecutive", fields.has_consecutive_digits, SQL_RISING)
 
 
+@query(
+    "sql_predicates",
+    TOKEN_CTE
+    + f""" SELECT doc_id, tok AS possible_invoice_nbr, {SQL_SINGLE} AS single_digit, CASE WHEN tok IS NOT NULL THEN {SQL_REPEAT} END AS repeated_group, {SQL_RISING} AS consecutive
+      FROM toks WHERE coalesce({SQL_SINGLE} OR {SQL_REPEAT} OR {SQL_RISING}, false) OR doc_id % 2 = 0""",
+)
+def sql_predicates(spark, sf):
+    """The predicates called by name in SQL text."""
+    register_predicates(spark)
+    found = fields.invoice_number(claim_docs(spark, sf))
+    return spark.sql(
+        """SELECT doc_id, possible_invoice_nbr, single_digit(possible_invoice_nbr) AS single_digit, repeated_group(possible_invoice_nbr) AS repeated_group,
+           consecutive_digits(possible_invoice_nbr) AS consecutive FROM {found} WHERE made_up_number(possible_invoice_nbr) OR doc_id % 2 = 0""",
+        found=found,
+    )
+
+
 @query(
     "invoice_pattern_extract",
     CLAIM_CTE

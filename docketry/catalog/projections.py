@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from docketry.catalog.base import CLAIM_CTE, claim_docs, query
 from docketry.catalog.fields import SQL_AMOUNT
-from docketry.operators import documents, fields, projections, scoring
+from docketry.operators import documents, duplicates, fields, projections, scoring
 from docketry.session import table
 
 RENAMES = {"order_id": "o_orderkey", "client": "o_custkey", "amount": "o_totalprice", "placed": "o_orderdate"}
@@ -164,3 +164,24 @@ _PROFILED = ["payment_amount", "register_num", "phone_nbr"]
 def null_profile(spark, sf):
     docs = fields.payment_amount(claim_docs(spark, sf)).join(table(spark, sf, "labels"), "doc_id", "left")
     return projections.null_profile(docs.select("payment_amount", "quality", "toxic"))
+
+
+@query(
+    "drop_duplicate_content",
+    "SELECT doc_id, text, source FROM documents QUALIFY text IS NULL OR row_number() OVER (PARTITION BY text ORDER BY n_chars, doc_id) = 1",
+)
+def drop_duplicate_content(spark, sf):
+    docs = table(spark, sf, "documents")
+    return duplicates.keep_first(docs, "text", "doc_id", ["n_chars"]).select("doc_id", "text", "source")
+
+
+@query(
+    "drop_duplicate_number",
+    CLAIM_CTE
+    + r""", numbered AS (SELECT doc_id, member_id, batch_date, nullif(regexp_extract(t, '(invoice number|invoice num|invoice #|invoice#)[\s:]*([a-z-]*[0-9][^\s]*)', 2), '') AS number FROM docs)
+      SELECT * FROM numbered QUALIFY number IS NULL OR row_number() OVER (PARTITION BY number ORDER BY batch_date, doc_id) = 1""",
+)
+def drop_duplicate_number(spark, sf):
+    """Of the claims with the same invoice number the earliest stays; claims without one all stay."""
+    numbered = fields.invoice_pattern(claim_docs(spark, sf)).select("doc_id", "member_id", "batch_date", F.col("invoice_pattern_nbr").alias("number"))
+    return duplicates.keep_first(numbered, "number", "doc_id", ["batch_date"])

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from docketry.catalog.base import CLAIM_CTE, claim_docs, query
 from docketry.session import scratch_dir, table
 from docketry.sources import readers, sinks
+from docketry.sources.keyed import KeyedTable
 from docketry.sources.tables import ChangeTable, VersionedTable
 
 
@@ -269,8 +270,8 @@ def sink_json(spark, sf):
 )
 def upsert_by_key(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderdate", F.col("o_totalprice").alias("price"))
-    stored = VersionedTable(spark, scratch_dir(spark, "upsert"))
+    stored = KeyedTable(spark, scratch_dir(spark, "upsert"), ["o_orderkey"], buckets=8)
     old = orders.filter("o_orderdate < date'2001-01-01'").select("o_orderkey", F.lit("old").alias("state"), "price")
     new = orders.filter("o_orderdate >= date'2000-01-01'").select("o_orderkey", F.lit("new").alias("state"))
-    stored.upsert(old, ["o_orderkey"])
-    return stored.upsert(new, ["o_orderkey"])
+    stored.upsert(old)
+    return stored.upsert(new)

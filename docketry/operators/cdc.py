@@ -111,13 +111,17 @@ def diff(
     """
     if (load, table) == ("delta", "transaction"):
         return add_audit(merge_same_day(landing, changes, keys, day), day, run_ts, batch_id)
-    columns = data_columns(changes)
-    rest = [c for c in columns if c not in keys]
     if load == "delta":
         landing = merge_same_day(landing, changes, keys, day)
+    return diff_state(landing, latest_before(changes, keys, day).select(*data_columns(changes)), keys, day, run_ts, batch_id, load)
+
+
+def diff_state(landing: DataFrame, state: DataFrame, keys: Keys, day: dt.date | str, run_ts: str, batch_id: int, load: str = "cdc") -> DataFrame:
+    """Changes that lead from a state, its live rows without audit columns, to a landing."""
+    columns = state.columns
+    rest = [c for c in columns if c not in keys]
     new = landing.filter(_has_key(keys)).select(*keys, F.struct(row_hash(columns).alias("h"), *rest).alias("_new"))
-    old = latest_before(changes, keys, day).filter(_has_key(keys))
-    old = old.select(*keys, F.struct(row_hash(columns).alias("h"), *rest).alias("_old"))
+    old = state.filter(_has_key(keys)).select(*keys, F.struct(row_hash(columns).alias("h"), *rest).alias("_old"))
     op = (
         F.when(F.col("_old").isNull(), "I")
         .when(F.col("_new").isNull(), "D")
@@ -228,19 +232,3 @@ def as_of(hist: DataFrame, day: dt.date | str) -> DataFrame:
     """Rows in force on a day."""
     d = F.lit(str(day)).cast("date")
     return hist.filter((F.col(EFF) <= d) & (F.col(END) >= d))
-
-
-def audit_counts(steps: dict[str, tuple[DataFrame, DataFrame]], day: dt.date | str, mask: bool = False) -> DataFrame:
-    """(step, batch_date, source_rows, target_rows, status) for each named (source, target) pair."""
-    def count(df: DataFrame) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias("n"))
-
-    rows = None
-    for name, (source, target) in steps.items():
-        for label in [name, f"{name}-MASK"] if mask else [name]:
-            row = count(target).select(
-                F.lit(label).alias("step"), F.lit(str(day)).cast("date").alias("batch_date"),
-                count(source).scalar().alias("source_rows"), F.col("n").alias("target_rows"), F.lit("SUCCESS").alias("status"),
-            )
-            rows = row if rows is None else rows.unionByName(row)
-    return rows

@@ -7,11 +7,15 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docketry.sources.keyed import KeyedTable
+
 # --- fixed values: what a high-water mark starts from when no run is complete
 WATERMARK_DEFAULTS = {
     "int": "0", "integer": "0", "timestamp": "1800-01-01 00:00:00", "ts": "1800-01-01 00:00:00",
     "date": "1800-01-01", "dt": "1800-01-01",
 }
+# --- fixed values: what the end of a run changes in its mark
+MARK_UPDATES = ("WatermarkValue_start_ts", "WatermarkValue_end_ts", "Status", "RunTime", "Count", "LogOutput", "Error_Txt", "CreateTs")
 
 
 def fold_run_log(writes: DataFrame, key: str = "id", at: str = "written_at", tie: str = "seq", error: str = "Error_Message") -> DataFrame:
@@ -56,6 +60,11 @@ def watermark_row(
     )
 
 
+def finish_marks(marks: KeyedTable, final: DataFrame) -> DataFrame:
+    """Enter how runs ended: a run that is known keeps its names, one that isn't comes with all columns."""
+    return marks.upsert(final, update=MARK_UPDATES)
+
+
 def incremental_read(df: DataFrame, column: str, start: Column, end: Column) -> DataFrame:
     """Rows with start < column <= end."""
     return df.filter((F.col(column) > start) & (F.col(column) <= end))

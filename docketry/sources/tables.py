@@ -1,8 +1,7 @@
 """Stored tables without a table format: versioned folders behind a pointer, and partitioned change tables.
 
 A job that reads a table and replaces it must not overwrite the files it reads. Each write
-therefore goes to a new version folder; a small pointer file names the version in force,
-and only changes once the new version is complete.
+therefore goes to a new version folder that gets its name once it is complete.
 """
 
 from __future__ import annotations
@@ -13,26 +12,23 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docketry.sources.commits import Folder
+
 
 class VersionedTable:
-    """A Parquet table whose current version is the newest committed folder."""
+    """A Parquet table whose current version is the newest committed folder.
+
+    A version is written under a draft name and committed by a rename that fails where another
+    writer has taken its number; a draft is never read.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
-
-    def _fs(self):
-        jvm = self.spark.sparkContext._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.path)
-        return jvm, root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), root
+        self._root = Folder(spark, self.path)
 
     def versions(self) -> list[str]:
         """Committed versions, oldest first; a folder without its success mark does not count."""
-        jvm, fs, root = self._fs()
-        if not fs.exists(root):
-            return []
-        names = [s.getPath().getName() for s in fs.listStatus(root)]
-        mark = lambda n: jvm.org.apache.hadoop.fs.Path(f"{self.path}/{n}/_SUCCESS")
-        return sorted(n for n in names if n.startswith("v") and fs.exists(mark(n)))
+        return [n for n in self._root.names() if n.startswith("v") and self._root.exists(f"{n}/_SUCCESS")]
 
     def exists(self) -> bool:
         return bool(self.versions())
@@ -47,12 +43,17 @@ class VersionedTable:
         """Write the next version and return it; readers of earlier versions are not disturbed."""
         found = self.versions()
         number = int(found[-1][1:].split("-")[0]) + 1 if found else 0
-        target = f"{self.path}/v{number:010d}-{uuid.uuid4().hex[:8]}"
-        df.write.parquet(target)
-        after = self.versions()
-        if [v for v in after if v not in found] != [target.rsplit("/", 1)[1]]:
-            raise RuntimeError(f"another writer committed a version of {self.path} meanwhile; its rows are not in {target}")
-        return self.spark.read.schema(df.schema).parquet(target)
+        target, draft = f"v{number:010d}", f".draft-{uuid.uuid4().hex}"
+        df.write.parquet(f"{self.path}/{draft}")
+        self._root.rename_new(draft, target)
+        return self.spark.read.schema(df.schema).parquet(f"{self.path}/{target}")
+
+    def vacuum(self, keep: int = 2, older_than_seconds: float = 24 * 3600) -> None:
+        """Delete versions but the newest `keep`, and drafts left behind, unless they are younger than the age."""
+        old = self.versions()[:-keep] + [n for n in self._root.names() if n.startswith(".draft-")]
+        for name in old:
+            if self._root.age_seconds(name) >= older_than_seconds:
+                self._root.delete(name)
 
     def upsert(self, source: DataFrame, keys: Sequence[str]) -> DataFrame:
         """Replace matched keys and add the rest; creates the table when there is none."""
@@ -77,10 +78,29 @@ class ChangeTable:
     def __init__(self, spark: SparkSession, path: str, partition: str):
         self.spark, self.path, self.partition = spark, path.rstrip("/"), partition
 
+    def exists(self) -> bool:
+        return Folder(self.spark, self.path).exists()
+
+    def clear(self) -> None:
+        """Remove all partitions."""
+        if self.exists():
+            Folder(self.spark, self.path).delete("")
+
     def write(self, df: DataFrame, first_load: bool = False) -> None:
         """``first_load`` replaces the whole table."""
         mode = "static" if first_load else "dynamic"
         df.hint("rebalance", self.partition).write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(self.partition).parquet(self.path)
 
+    def replace(self, df: DataFrame, value: str) -> None:
+        """The rows of one partition, which may be none; nothing that `df` reads may lie in it."""
+        df.drop(self.partition).hint("rebalance").write.mode("overwrite").parquet(f"{self.path}/{self.partition}={value}")
+
     def read(self) -> DataFrame:
         return self.spark.read.parquet(self.path).withColumn(self.partition, F.col(self.partition).cast("date"))
+
+    def read_one(self, value: str) -> DataFrame | None:
+        """One partition, None where it was never written."""
+        if not Folder(self.spark, self.path).exists(f"{self.partition}={value}"):
+            return None
+        part = self.spark.read.parquet(f"{self.path}/{self.partition}={value}")
+        return part.withColumn(self.partition, F.lit(value).cast("date"))

@@ -44,17 +44,24 @@ def amount(text):
 
 
 def bad_address(text):
+    """Whether an address, or a postal code standing alone, lacks the road and province that belong to it.
+
+    A code is judged by the 80 characters up to its end and the five after it; one that stands too near to
+    the start or the end of the text for that, by everything before its end and one character more.
+    """
     text = text.replace("email address", " ")
-    placed = lambda w: any(r in w for r in V.ROAD_WORDS) and any(p in w for p in V.PROVINCE_WORDS)
-    for m in re.finditer("address", text):
-        window = text[m.start() : m.start() + 80]
+
+    def placed(part):
+        return any(r in part for r in V.ROAD_WORDS) and any(p in part for p in V.PROVINCE_WORDS)
+
+    for found in re.finditer("address", text):
+        window = text[found.start() :][:80]
         if not (re.search(V.POSTAL_IN_WINDOW, window) and placed(window)):
             return True
-    for m in re.finditer(V.POSTAL_STANDALONE, text):
-        near = range(m.end() - 80, m.end() + 5)
-        if near.start < 1 or near.stop >= len(text):
-            near = range(m.end() + 1)
-        if not placed("".join(c for k, c in enumerate(text) if k in near)):
+    for code in re.finditer(V.POSTAL_STANDALONE, text):
+        before, after = text[: code.end()], text[code.end() :]
+        roomy = len(before) > 80 and len(after) > 5
+        if not placed(before[-80:] + after[:5] if roomy else before + after[:1]):
             return True
     return False
 

@@ -114,3 +114,23 @@ def test_claim_document_counts(spark):
         "other_receipt": 7929, "paramedical_invoice": 3000, "claim_page_one": 1500, "claim_page_two": 1500, "other_doc": 857,
         "drug_receipt": 214,
     }
+
+
+def test_codes_near_the_ends_and_in_the_middle(spark):
+    code, place = " m5v 2t6 ", "12 main street toronto ontario"
+    cases = {
+        f"{place}{code}": False,
+        f"{code}{place}": True,  # the place comes after all that is looked at
+        f"{place}{code}{'x' * 90}": False,
+        f"{place}{'x' * 90}{code}{'x' * 90}": True,  # too far before
+        f"{'x' * 90}{place}{code}{'x' * 90}": False,
+        f"{'x' * 90}{place}{'x' * 90}{code}": False,  # at the end everything before counts
+        f"{'x' * 90}{code}{place}": True,
+        "address unknown": True,
+        f"address {place}{code}": False,
+        "email address jo@site.ca": False,
+        "": False,
+    }
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(cases)], "id int, content string")
+    got = {r.id: r.has_invalid_addr for r in fields.invalid_address(df).collect()}
+    assert [got[i] for i in range(len(cases))] == list(cases.values()) == [bad_address(t) for t in cases]
