@@ -8,8 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from docketry.catalog.base import query
-from docketry.operators import calendar, calls, projections, runlog, surveys
+from docketry.catalog.base import CLAIM_CTE, claim_docs, query
+from docketry.operators import calendar, calls, projections, runlog, surveys, topic_levels
 from docketry.session import scratch_dir, table, text_table
 from docketry.sources.keyed import KeyedTable
 
@@ -421,3 +421,38 @@ TOPICS = {"contact": ["[a-z]+@[a-z]+", r"\d{3}-\d{4}"], "license": ["licen[cs]e"
 def topic_search_labels(spark, sf):
     docs = text_table(spark, sf, "documents", "doc_id", "text")
     return calls.search_topics(docs, "text", TOPICS).drop("text")
+
+
+#: Patterns by the path of their file.
+TOPIC_FOLDERS = {
+    "care/physio": ["physiotherapy", "referral by dr"], "care/drugs/pharmacy": ["pharmacy", "drug"], "care/drugs/device": ["medical device"],
+    "forms": ["plan contract number"], "forms/benefits": ["explanation of benefits", "claims? confirmation"], "money/cash": ["paid.{0,6}cash"], "money/card": ["visa|credit"],
+}
+
+
+def _level_sql() -> str:
+    hits = " UNION ALL ".join(
+        f"SELECT doc_id, batch_date, '{node}' AS node FROM docs WHERE regexp_matches(t, '{'|'.join(f'(?:{p})' for p in ps)}')" for node, ps in TOPIC_FOLDERS.items()
+    )
+    return CLAIM_CTE + f""", hits AS ({hits}), up AS (SELECT DISTINCT doc_id, batch_date, l AS level, array_to_string(string_split(node, '/')[1:l], '/') AS topic
+      FROM hits, range(1, 4) r(l) WHERE l <= len(string_split(node, '/')))"""
+
+
+def topic_levels_of(spark, sf):
+    root = f"{scratch_dir(spark, 'patterns')}/levels"
+    for node, patterns in TOPIC_FOLDERS.items():
+        spark.createDataFrame([("# patterns",), *[(p,) for p in patterns], ("",)], "value string").coalesce(1).write.text(f"{root}/{node}.txt")
+    # Spark writes folders; what a node's folder holds belongs to the node.
+    patterns = topic_levels.read_patterns(spark, root, ending=".txt")
+    docs = claim_docs(spark, sf).select("doc_id", "batch_date", F.lower("content").alias("t"))
+    return topic_levels.label_levels(docs, ["doc_id", "batch_date"], "t", patterns)
+
+
+@query("topic_search_levels", _level_sql() + " SELECT doc_id, batch_date, cast(level AS int) AS level, topic FROM up")
+def topic_search_levels(spark, sf):
+    return topic_levels_of(spark, sf)
+
+
+@query("topic_levels_daily", _level_sql() + " SELECT batch_date, cast(level AS int) AS level, topic, count(*) AS n FROM up GROUP BY ALL")
+def topic_levels_daily(spark, sf):
+    return topic_levels.daily_counts(topic_levels_of(spark, sf), "batch_date")

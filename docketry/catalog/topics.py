@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from docketry.catalog.base import query
 from docketry.functions import fixed_values as V
-from docketry.operators import topics
+from docketry.operators import coherence, topics
 from docketry.session import stage, table, text_table
 
 _PUNCT = string.punctuation.replace("'", "''")
@@ -140,23 +140,28 @@ def tfidf(spark, sf):
 
 
 def class_weights(topic_sql: str) -> str:
-    return TOKEN_CTE + f""", ct AS (SELECT {topic_sql} AS topic, term, count(*) AS n FROM words {'JOIN embeddings ON vec_id = doc_id' if 'label' in topic_sql else ''} GROUP BY ALL),
+    return TOKEN_CTE + f""", ct AS (SELECT {topic_sql} AS topic, term, count(*) AS n FROM words {'LEFT JOIN embeddings ON vec_id = doc_id' if 'label' in topic_sql else ''} GROUP BY ALL),
   tw AS (SELECT topic, sum(n) AS words FROM ct GROUP BY topic), f AS (SELECT term, sum(n) AS total FROM ct GROUP BY term),
   cw AS (SELECT ct.topic, ct.term, cast(n AS bigint) AS n, round(n / words * ln(1 + (SELECT avg(words) FROM tw) / total), 6) AS weight FROM ct JOIN tw ON ct.topic = tw.topic JOIN f ON f.term = ct.term),
   ranked AS (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY weight DESC, term) AS rank FROM cw)"""
 
 
-@query("class_tfidf", class_weights("label") + " SELECT topic, term, n, weight FROM cw")
+#: Documents without a vector are a class of their own.
+LABEL = "coalesce(label, -1)"
+
+
+@query("class_tfidf", class_weights(LABEL) + " SELECT topic, term, n, weight FROM cw")
 def class_tfidf(spark, sf):
     return topics.class_tfidf(labelled_tokens(spark, sf), "topic", "tokens")
 
 
 def labelled_tokens(spark, sf):
     vectors = table(spark, sf, "embeddings").select(F.col("vec_id").alias("doc_id"), F.col("label").alias("topic"))
-    return stage(tokens(spark, sf).join(vectors, "doc_id"), "labelled-tokens")
+    labelled = tokens(spark, sf).join(vectors, "doc_id", "left").withColumn("topic", F.coalesce("topic", F.lit(-1)))
+    return stage(labelled, "labelled-tokens")
 
 
-@query("topic_top_terms", class_weights("label") + " SELECT topic, cast(rank AS int) AS rank, term, n, weight FROM ranked WHERE rank <= 10")
+@query("topic_top_terms", class_weights(LABEL) + " SELECT topic, cast(rank AS int) AS rank, term, n, weight FROM ranked WHERE rank <= 10")
 def topic_top_terms(spark, sf):
     return topics.top_terms(topics.class_tfidf(labelled_tokens(spark, sf), "topic", "tokens"), "topic")
 
@@ -177,18 +182,50 @@ def topic_coherence(spark, sf):
     return topics.coherence(words, "doc_id", "tokens", stage(best, "topic-words"))
 
 
-@query("lda_topics")
-def lda_topics(spark, sf):
-    """Topic words per topic count, with the coherence by which one of them is chosen."""
+CV_WINDOW, CV_WORDS = 10, 5
+
+
+@query(
+    "topic_coherence_cv",
+    class_weights("source")
+    + f""", tt AS (SELECT topic, term FROM ranked WHERE rank <= {CV_WORDS}), l AS (SELECT doc_id, greatest(len(ts) - {CV_WINDOW} + 1, 1) AS nw FROM toks WHERE len(ts) > 0),
+      total AS (SELECT sum(nw)::double AS w FROM l),
+      seen AS (SELECT DISTINCT doc_id, term, unnest(range(greatest(pos - {CV_WINDOW} + 1, 0), least(pos, nw - 1) + 1)) AS at FROM words JOIN l USING (doc_id) WHERE term IN (SELECT term FROM tt)),
+      one AS (SELECT term, count(*)::double AS n FROM seen GROUP BY term),
+      two AS (SELECT x.term AS a, y.term AS b, count(*)::double AS n FROM seen x JOIN seen y ON x.doc_id = y.doc_id AND x.at = y.at GROUP BY ALL),
+      c AS (SELECT x.topic, x.term AS a, y.term AS b, coalesce(two.n, 0) / w + 1e-12 AS p, oa.n / w AS pa, ob.n / w AS pb FROM tt x JOIN tt y ON x.topic = y.topic JOIN one oa ON oa.term = x.term
+        JOIN one ob ON ob.term = y.term LEFT JOIN two ON two.a = x.term AND two.b = y.term, total),
+      v AS (SELECT topic, a, b, ln(p / (pa * pb)) / -ln(p) AS v FROM c), s AS (SELECT topic, b, sum(v) AS s FROM v GROUP BY ALL)
+      SELECT topic, round(avg(r), 6) AS c_v FROM (SELECT topic, a, sum(v * s) / sqrt(sum(v * v) * sum(s * s)) AS r FROM v JOIN s USING (topic, b) GROUP BY ALL) GROUP BY topic""",
+)
+def topic_coherence_cv(spark, sf):
+    words = staged_tokens(spark, sf, F.col("source").alias("topic"))
+    best = topics.top_terms(topics.class_tfidf(words, "topic", "tokens"), "topic", n=CV_WORDS).select("topic", "term", "rank")
+    return coherence.coherence_cv(words, "doc_id", "tokens", stage(best, "topic-words"), size=CV_WINDOW)
+
+
+def lda_by_count(spark, sf):
+    """Documents and counts, and the topic words of a model for each number of topics with their c_v."""
     words = staged_tokens(spark, sf)
-    models, _, vocab = topics.lda_models(words, "tokens", keep=10_000)
+    models, counted, vocab = topics.lda_models(words, "tokens", keep=10_000)
     out = None
     for k, model in models.items():
-        best = stage(topics.lda_terms(model, vocab), "lda-terms")
-        found = best.join(topics.coherence(words, "doc_id", "tokens", best.select("topic", "term", "rank")), "topic")
-        found = found.select(F.lit(k).alias("k"), "topic", "rank", "term", "npmi", "umass")
-        out = found if out is None else out.unionByName(found)
-    return out
+        best = topics.lda_terms(model, vocab).withColumn("k", F.lit(k))
+        out = best if out is None else out.unionByName(best)
+    best = stage(out.withColumn("model_topic", F.concat_ws("/", "k", "topic")), "lda-terms")
+    told = coherence.coherence_cv(words, "doc_id", "tokens", best.select(F.col("model_topic").alias("topic"), "term", "rank"))
+    return words, models, counted, stage(best.join(told.withColumnRenamed("topic", "model_topic"), "model_topic"), "lda-told")
+
+
+@query("lda_topics")
+def lda_topics(spark, sf):
+    """Topic words of each number of topics; the number whose topics are the most coherent on average is chosen."""
+    words, _, _, told = lda_by_count(spark, sf)
+    counts = topics.coherence(words, "doc_id", "tokens", told.select(F.col("model_topic").alias("topic"), "term", "rank"))
+    by_k = told.groupBy("k").agg(F.round(F.avg("c_v"), 6).alias("mean_c_v"))
+    chosen = by_k.agg(F.max_by("k", F.struct("mean_c_v", -F.col("k")))).scalar()
+    joined = told.join(counts.withColumnRenamed("topic", "model_topic"), "model_topic").join(by_k, "k")
+    return joined.select("k", "topic", "rank", "term", "npmi", "umass", "c_v", "mean_c_v", (F.col("k") == chosen).alias("chosen"))
 
 
 @query("topic_assignment")

@@ -108,6 +108,40 @@ def oversample_minority(spark, sf):
     return training.oversample(minority, _FLAGS, "doc_id", copies=2)
 
 
+_TWENTY = {f"f{i}": f"cast((o_orderkey * {2 * i + 1} + o_custkey) % {i + 2} = 0 AS int)" for i in range(20)}
+_SCALED = {"price": "round(o_totalprice / 500000.0, 2)", "placed": "round(datediff(cast(o_orderdate AS date), DATE '1992-01-01') / 2500.0, 2)"}
+_TWENTY_CODE = " || ".join(f"cast(f{i} AS varchar)" for i in reversed(range(20)))
+
+
+@query(
+    "oversample_numeric",
+    "WITH m AS (SELECT o_orderkey, " + ", ".join(f"{e} AS {f}" for f, e in _TWENTY.items())
+    + """, round(o_totalprice / 500000.0::double, 2) AS price, round(date_diff('day', DATE '1992-01-01', cast(o_orderdate AS date)) / 2500.0::double, 2) AS placed
+      FROM orders WHERE o_orderpriority = '1-URGENT'),
+      c AS (SELECT *, """ + _TWENTY_CODE + """ AS code FROM m),
+      pt AS (SELECT code, price, placed, count(*) AS n FROM c GROUP BY ALL),
+      nb AS (SELECT a.code, a.price, a.placed, b.code AS near, b.price AS nprice, b.placed AS nplaced, b.n - (a.code = b.code AND a.price = b.price AND a.placed = b.placed)::int AS others,
+        hamming(a.code, b.code) + (a.price - b.price) * (a.price - b.price) + (a.placed - b.placed) * (a.placed - b.placed) AS d FROM pt a, pt b),
+      top AS (SELECT * FROM nb WHERE others > 0 QUALIFY row_number() OVER (PARTITION BY code, price, placed ORDER BY round(d, 9), near, nprice, nplaced) <= 5),
+      cum AS (SELECT *, sum(others) OVER (PARTITION BY code, price, placed ORDER BY round(d, 9), near, nprice, nplaced) AS upto FROM top),
+      k AS (SELECT code, price, placed, max(upto) AS known FROM cum GROUP BY ALL),
+      x AS (SELECT c.*, copy, """
+    + _bucket("o_orderkey || '/' || copy || 'n'", 5) + " % least(5, known) + 1 AS pick, " + _bucket("o_orderkey || '/' || copy || 's'", 10000)
+    + """ / 10000.0::double AS step FROM c JOIN k USING (code, price, placed), (VALUES (1), (2)) v(copy)),
+      s AS (SELECT x.*, near, nprice, nplaced FROM x JOIN cum USING (code, price, placed) WHERE upto >= pick
+        QUALIFY row_number() OVER (PARTITION BY o_orderkey, copy ORDER BY upto) = 1)
+      SELECT o_orderkey, copy, """
+    + ", ".join(f"round(f{i} + step * (cast(substr(near, {20 - i}, 1) AS int) - f{i}), 6) AS f{i}" for i in range(20))
+    + ", round(price + step * (nprice - price), 6) AS price, round(placed + step * (nplaced - placed), 6) AS placed FROM s",
+)
+def oversample_numeric(spark, sf):
+    """Urgent orders with twenty flags and two numbers."""
+    urgent = table(spark, sf, "orders").filter("o_orderpriority = '1-URGENT'")
+    features = {**_TWENTY, **_SCALED}
+    minority = stage(urgent.selectExpr("o_orderkey", *[f"cast({e} AS double) AS {f}" if f in _SCALED else f"{e} AS {f}" for f, e in features.items()]), "minority")
+    return training.oversample(minority, list(_TWENTY), "o_orderkey", copies=2, numbers=list(_SCALED))
+
+
 @query("cv_model_compare")
 def cv_model_compare(spark, sf):
     folded = training.add_fold(labelled(spark, sf), "doc_id")
@@ -143,10 +177,13 @@ def score_with_model(spark, sf):
       SELECT doc_id, batch_date, has_bulk_treatment FROM feats WHERE batch_date NOT IN (SELECT d FROM done)""",
 )
 def incremental_scoring(spark, sf):
-    docs = claim_docs(spark, sf)
+    """Documents lie in a table by month; only the months with open days are read."""
+    path = scratch_dir(spark, "documents-by-month")
+    docs = claim_docs(spark, sf).withColumn("batch_month", F.trunc("batch_date", "month"))
+    docs.repartition("batch_month").write.partitionBy("batch_month").parquet(path)
     early = table(spark, sf, "orders").filter("o_orderdate < date'2000-06-01'").select(F.to_date("o_orderdate").alias("batch_date"))
     scored = early.unionByName(table(spark, sf, "events").select(F.to_date("ts").alias("batch_date")))
-    todo = training.unscored(docs, scored, "batch_date")
+    todo = training.unscored(spark.read.parquet(path), scored, "batch_date", "batch_month")
     return claim_risk.features(todo, extra=("batch_date",)).select("doc_id", "batch_date", "has_bulk_treatment")
 
 

@@ -8,7 +8,6 @@ documents were read, and gives the same model.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
@@ -22,11 +21,12 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docketry.functions.text import hash_bucket
+from docketry.operators import neighbours
 
 SCALE = 10_000
 
@@ -63,56 +63,26 @@ def add_fold(df: DataFrame, key: str, folds: int = 5, salt: str = "fold") -> Dat
     return df.withColumn("fold", hash_bucket(F.concat(F.col(key).cast("string"), F.lit(salt)), folds).cast("int"))
 
 
-def _bits(flags: Sequence[str]) -> Column:
-    return reduce(
-        lambda a, b: a + b, [F.col(f"`{f}`").cast("int") * F.lit(1 << i) for i, f in enumerate(flags)], F.lit(0)
-    )
-
-
-def oversample(minority: DataFrame, flags: Sequence[str], key: str, copies: int = 1, k: int = 5) -> DataFrame:
+def oversample(minority: DataFrame, flags: Sequence[str], key: str, copies: int = 1, k: int = 5, numbers: Sequence[str] = ()) -> DataFrame:
     """Synthetic minority rows between a row and one of its k nearest neighbours.
 
-    Rows of n flags fall into at most 2^n patterns. The neighbours of a pattern are other
-    rows of the same pattern, then the patterns at one, two, ... flipped flags, each with
-    its rows, so they follow from a table of patterns whose size does not depend on the
-    data. Every flip is met by an equi-join, and each pattern keeps the few that make up
-    its k nearest. The neighbour and the step towards it come from the hash of the key.
+    Features are any number of 0/1 flags, and numbers that the caller has scaled to the flags. The
+    neighbour and the step towards it come from the hash of the key. A row without any neighbour gives none.
     """
-    n = len(flags)
-    if n > 12:
-        raise ValueError("too many flags for the pattern table")
-    coded = minority.withColumn("_code", _bits(flags))
-    counts = coded.groupBy("_code").agg(F.count(F.lit(1)).alias("_rows"))
-    probes = counts.select("_code").withColumn("_flip", F.explode(F.sequence(F.lit(0), F.lit((1 << n) - 1))))
-    other = counts.select(F.col("_code").alias("_near"), F.col("_rows").alias("_near_rows"))
-    near = (
-        probes.withColumn("_near", F.col("_code").bitwiseXOR(F.col("_flip")))
-        .join(other, "_near")
-        .withColumn("_dist", F.bit_count("_flip"))
-        .withColumn("_others", F.col("_near_rows") - (F.col("_flip") == 0).cast("int"))
-    )
-    ordered = near.groupBy("_code").agg(
-        F.sort_array(F.collect_list(F.struct("_dist", "_near", "_others"))).alias("_list")
-    )
-    # Place of the last neighbour that each pattern in the list brings.
-    reach = F.transform(
-        "_list",
-        lambda x, i: F.struct(
-            x["_near"].alias("near"),
-            F.aggregate(F.slice("_list", F.lit(1), i + 1), F.lit(0).cast("bigint"), lambda a, y: a + y["_others"]).alias("upto"),
-        ),
-    )
-    table = ordered.select("_code", F.filter(reach, lambda x: x["upto"] > 0).alias("_reach"))
-    made = coded.join(table, "_code").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(copies))))
+    table = neighbours.nearest(minority, flags, numbers, k).withColumnRenamed("reach", "_reach")
+    bits = F.concat(*[F.col(f"`{f}`").cast("int").cast("string") for f in reversed(flags)]) if flags else F.lit("")
+    made = minority.withColumn("bits", bits).join(table, ["bits", *numbers]).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(copies))))
     seed = F.concat(F.col(key).cast("string"), F.lit("/"), F.col("_copy").cast("string"))
     known = F.element_at("_reach", -1)["upto"]
     pick = hash_bucket(F.concat(seed, F.lit("n")), k) % F.least(known, F.lit(k)) + 1
     made = made.filter(F.size("_reach") > 0).withColumn("_pick", pick)
-    chosen = F.get(F.filter("_reach", lambda x: x["upto"] >= F.col("_pick")), F.lit(0))["near"]
+    chosen = F.get(F.filter("_reach", lambda x: x["upto"] >= F.col("_pick")), F.lit(0))
     made = made.withColumn("_near", chosen).withColumn("_step", hash_bucket(F.concat(seed, F.lit("s")), SCALE) / SCALE)
     values = []
-    for i, f in enumerate(flags):
-        own, there = F.col(f"`{f}`").cast("double"), F.col("_near").bitwiseAND(F.lit(1 << i)).cast("boolean").cast("double")
+    for i, f in enumerate([*flags, *numbers]):
+        own = F.col(f"`{f}`").cast("double")
+        flag = i < len(flags)
+        there = F.substring("_near.near_bits", len(flags) - i, 1).cast("double") if flag else F.get(F.col("_near.near_numbers"), F.lit(i - len(flags)))
         values.append(F.round(own + F.col("_step") * (there - own), 6).alias(f))
     return made.select(key, F.col("_copy").alias("copy"), *values)
 
@@ -175,9 +145,23 @@ def score_with_model(df: DataFrame, model: PipelineModel, into: str = "risk_scor
     )
 
 
-def unscored(processed: DataFrame, scored: DataFrame, day: str) -> DataFrame:
-    """Rows of days that were processed but not scored yet."""
-    return processed.join(scored.select(day).distinct(), day, "left_anti")
+def unscored(stored: DataFrame, scored: DataFrame, day: str, partition: str | None = None) -> DataFrame:
+    """Rows of days that were processed but not scored yet, from a table stored by ``partition`` (the day itself by default).
+
+    The open days are found on days alone and come to the driver, one value per day and partition; the
+    rows are then read by a filter that picks the partitions, so no row takes part in a join. Rows without a day are open
+    for ever.
+    """
+    partition = partition or day
+    days = stored.select(day, partition).distinct() if partition != day else stored.select(day).distinct()
+    open_ = days.join(scored.select(day).distinct(), day, "left_anti").collect()
+    some = [r[day] for r in open_ if r[day] is not None]
+    wanted = F.col(day).isin(some) if some else F.lit(False)
+    if any(r[day] is None for r in open_):
+        wanted = wanted | F.col(day).isNull()
+    parts = {r[partition] for r in open_}
+    picked = F.col(partition).isin([p for p in parts if p is not None])
+    return stored.filter((picked | F.col(partition).isNull() if None in parts else picked) & wanted)
 
 
 def confusion(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
