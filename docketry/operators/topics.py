@@ -10,10 +10,10 @@ import re
 import string
 from collections.abc import Sequence
 
-from pyspark.ml.clustering import KMeans, LDA, LDAModel
+from pyspark.ml.clustering import LDA, KMeans, KMeansModel, LDAModel
 from pyspark.ml.feature import CountVectorizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.recommendation import ALS
+from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -274,24 +274,44 @@ def assign_topics(model: LDAModel, counted: DataFrame, key: str) -> DataFrame:
     return shares.select(key, (F.array_position("p", top) - 1).cast("int").alias("topic"), top.alias("probability"))
 
 
-def nmf_terms(weights: DataFrame, key: str, topics: int, n: int = 10, iterations: int = 10, seed: int = 11111) -> DataFrame:
-    """(topic, rank, term, weight) of a non-negative factorization of (key, term, weight).
+def dense_numbers(df: DataFrame, key: str, into: str, groups: int = 256) -> DataFrame:
+    """(key, number): the distinct keys of any type numbered from 0 without gaps.
 
-    The vocabulary of the weights is capped, so numbering its terms is a small window.
+    Keys are numbered within groups of a hash, and the groups' sizes give where each starts.
     """
-    numbers = weights.select("term").distinct().withColumn(
-        "term_no", (F.row_number().over(Window.orderBy("term")) - 1).cast("int")
-    )
-    rated = weights.join(numbers, "term").select(F.col(key).cast("int").alias("doc_no"), "term_no", F.col("weight").cast("float"))
-    model = ALS(
-        rank=topics, maxIter=iterations, nonnegative=True, seed=seed, userCol="doc_no", itemCol="term_no", ratingCol="weight"
-    ).fit(rated)
+    keys = stage(df.select(key).distinct().withColumn("_group", F.pmod(F.xxhash64(key), F.lit(groups))), "keys")
+    sizes = keys.groupBy("_group").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = sizes.select("_group", before.alias("_start"))  # a row per group
+    own = F.row_number().over(Window.partitionBy("_group").orderBy(key)) - 1
+    return keys.withColumn("_own", own).join(starts, "_group").select(key, (F.col("_own") + F.col("_start")).cast("int").alias(into))
+
+
+def nmf_model(weights: DataFrame, key: str, topics: int, iterations: int = 10, seed: int = 11111) -> tuple[ALSModel, DataFrame, DataFrame]:
+    """A non-negative factorization of (key, term, weight), the numbered weights, and (term, term_no).
+
+    The factorization takes at most 2^31 documents; their keys may be of any type.
+    """
+    docs, terms = dense_numbers(weights, key, "doc_no"), dense_numbers(weights, "term", "term_no")
+    rated = stage(weights.join(docs, key).join(terms, "term").select("doc_no", "term_no", F.col("weight").cast("float").alias("weight")), "rated")
+    als = ALS(rank=topics, maxIter=iterations, nonnegative=True, seed=seed, userCol="doc_no", itemCol="term_no", ratingCol="weight")
+    return als.fit(rated), rated, terms
+
+
+def nmf_terms(weights: DataFrame, key: str, topics: int, n: int = 10, iterations: int = 10, seed: int = 11111) -> DataFrame:
+    """(topic, rank, term, weight) of a non-negative factorization of (key, term, weight)."""
+    model, _, numbers = nmf_model(weights, key, topics, iterations, seed)
     loads = model.itemFactors.select(F.col("id").alias("term_no"), F.posexplode("features").alias("topic", "weight"))
     return top_terms(loads.join(numbers, "term_no").select("topic", "term", "weight"), "topic", n=n)
 
 
-def embedding_clusters(df: DataFrame, vector: str, k: int, seed: int = 7, into: str = "topic") -> DataFrame:
-    """Cluster number of each embedding."""
+def embedding_model(df: DataFrame, vector: str, k: int, seed: int = 7, into: str = "topic") -> tuple[KMeansModel, DataFrame]:
+    """A clustering of embeddings, and the rows with their cluster number."""
     points = df.withColumn("_v", array_to_vector(F.col(vector).cast("array<double>")))
     model = KMeans(k=k, seed=seed, featuresCol="_v", predictionCol=into).fit(points)
-    return model.transform(points).drop("_v")
+    return model, model.transform(points).drop("_v")
+
+
+def embedding_clusters(df: DataFrame, vector: str, k: int, seed: int = 7, into: str = "topic") -> DataFrame:
+    """Cluster number of each embedding."""
+    return embedding_model(df, vector, k, seed, into)[1]

@@ -9,8 +9,6 @@ import __spark_entry__ as entry_module
 from compare import TABLES, rows_of
 
 QUERIES, ORACLES = entry_module.queries(), entry_module.oracle_sql()
-# These fit models over the whole tables and have no twin; the bench and compare.py run them.
-SLOW = {"cv_model_compare", "lda_topics"}
 
 
 @pytest.fixture(scope="module")
@@ -31,7 +29,7 @@ def test_query_equals_its_twin(spark, sf, con, name):
     assert got == rows_of(columns, rel.fetchall())
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_query_without_twin_gives_rows(spark, sf, name):
     assert QUERIES[name](spark, sf).count() > 0
 
