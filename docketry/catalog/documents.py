@@ -110,7 +110,7 @@ def doc_handwritten_share(spark, sf):
 
 
 def _stamp_inputs(spark, sf):
-    """Documents by object id, and the stamped files as another system spells their names."""
+    """Documents by object id, and the stamped scans as another system spells their names."""
     docs = claim_docs(spark, sf).withColumn(
         "obj_id", F.concat(F.col("batch_date").cast("string"), F.lit("_scan-"), F.col("doc_id").cast("string"))
     )

@@ -102,8 +102,8 @@ def scan_json_lines_recursive(spark, sf):
 def scan_binary_files(spark, sf):
     path = scratch_dir(spark, "binary")
     table(spark, sf, "pages").select("html").write.text(path)
-    files = readers.read_binary(spark, path, "*.txt")
-    return files.agg(F.sum(F.length("content")).alias("total_bytes"))
+    found = readers.read_binary(spark, path, "*.txt")
+    return found.agg(F.sum(F.length("content")).alias("total_bytes"))
 
 
 @query(

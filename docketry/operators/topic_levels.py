@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 
 def read_patterns(spark: SparkSession, root: str, ending: str = ".txt") -> DataFrame:
-    """(node, pattern) from text files below a folder: a line is a pattern, a file's path without its ending is its node.
+    """(node, pattern) from texts below a folder: a line is a pattern, a text's path without its ending is its node.
 
     Blank lines and lines that start with # are left out. A file beside a folder of its name gives a node between the levels patterns of its own.
     """

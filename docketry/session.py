@@ -50,7 +50,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def text_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """A table whose rows carry long texts.
 
-    Text work is bound by the processor. A session over small files, which are one task each, can
+    Text work is bound by the processor. A session over small inputs, which are one task each, can
     ask for more partitions by TEXT_PARTITIONS; nothing looks at sizes or cores by itself.
     """
     df = table(spark, sf_dir, name)

@@ -1,7 +1,7 @@
 """Commits to stored tables that exactly one of several writers can make.
 
 A commit is a file or folder that gets its final name by a rename which fails if the name is taken.
-That is atomic on file systems that name files in one place; local ones check before they rename.
+That is atomic on stores that keep all names in one place; local ones check before they rename.
 """
 
 from __future__ import annotations

@@ -1,4 +1,4 @@
-"""File sources: delimited files, line JSON, XML manifests, dated folders, file listings."""
+"""Sources by path: delimited text, line JSON, XML manifests, dated folders, listings."""
 
 from __future__ import annotations
 
@@ -64,14 +64,14 @@ def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataF
 
 
 def read_binary(spark: SparkSession, root: str, glob: str) -> DataFrame:
-    """path and content of the files that match."""
+    """path and content of what matches."""
     return (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(root)
     )
 
 
 def table_of(path: Column) -> Column:
-    """Table a file belongs to: its stem, or its folder for the part files of a written table."""
+    """Table a file belongs to: its stem, or its folder for the parts of a written table."""
     stem = F.regexp_extract(path, r"/([^/.]+)[^/]*$", 1)
     return F.when(stem.startswith("part-"), F.regexp_extract(path, r"/([^/]+)/[^/]+$", 1)).otherwise(stem)
 
@@ -80,7 +80,7 @@ def dispatch(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """Route every table below a folder to its loader; a table's locations are read as one table.
 
     Each location of hits goes with the header of its own folder, or with the only header there is.
-    What comes to the driver is a row per table and folder, or per file where files are not parts.
+    What comes to the driver is a row per table and folder, or per input where inputs are not parts.
     """
     written = F.col("path").rlike("/part-[^/]*$")
     named = list_files(spark, root).select(
@@ -179,7 +179,7 @@ def attach_manifest(docs: DataFrame, images: DataFrame, file_col: str = "file_na
 
 
 def document_ids(listing: DataFrame, day: Column, extensions: Sequence[str] = ("jpg", "tif", "pdf", "png")) -> DataFrame:
-    """obj_id = date_name for files of the wanted kinds."""
+    """obj_id = date_name for documents of the wanted kinds."""
     name = F.element_at(F.split("path", "/"), -1)
     kept = listing.filter(F.col("path").rlike(rf"\.({'|'.join(extensions)})$"))
     return kept.select(F.concat_ws("_", day, name).alias("obj_id"), F.col("path").alias("img_path"))

@@ -1,4 +1,4 @@
-"""File sinks. Partitioned writes ask for a rebalance first: files of even size, hot partitions split."""
+"""Sinks by path. Partitioned writes ask for a rebalance first: parts of even size, hot partitions split."""
 
 from __future__ import annotations
 

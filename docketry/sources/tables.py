@@ -1,6 +1,6 @@
 """Stored tables without a table format: versioned folders behind a pointer, and partitioned change tables.
 
-A job that reads a table and replaces it must not overwrite the files it reads. Each write
+A job that reads a table and replaces it must not overwrite the parts it reads. Each write
 therefore goes to a new version folder that gets its name once it is complete.
 """
 
