@@ -10,10 +10,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Which of the tokens in a row count. All masks have the same span.
-MASKS = ("11101101", "11011011", "10110111")
+from docketry.session import stage
+
+#: Which of the tokens in a row count. Light masks keep passages in which a third of the tokens was replaced: of items
+#: of 12 tokens or more that meet the rule at such a rate, 99 % have a seed hit (README), and no two
+#: substitutions in 13 tokens leave none.
+MASKS = ("1111", "110011", "1010011")
 WINDOW = 13
-#: Hits are looked up in a broadcast table if it has at most so many seeds, else by a shuffle.
+#: A window of agreeing tokens has at least so many; items of fewer have to be there whole.
+LEAST = 8
+#: Seeds and found diagonals are looked up in a broadcast table if it has at most so many rows, else by a shuffle.
 SMALL_SEEDS = 1_000_000
 
 
@@ -23,15 +29,16 @@ def tokens(text: str) -> Column:
     return F.coalesce(F.transform(words, lambda w: F.xxhash64(w)), F.array().cast("array<bigint>"))
 
 
-def _seeds(t: Column, at: Column, masks: tuple[str, ...]) -> Column:
-    return F.array(*[F.xxhash64(F.lit(m), *[F.get(t, at + k) for k, bit in enumerate(mask) if bit == "1"]) for m, mask in enumerate(masks)])
-
+def _seeded(df: DataFrame, masks: tuple[str, ...]) -> DataFrame:
+    """`i, _seed` for each row with tokens `t` and each place and mask; the seed is null where the mask does not fit.
 
-def _positions(df: DataFrame, masks: tuple[str, ...], *keep: str) -> DataFrame:
-    """A row for each place where a whole mask fits."""
-    span = len(masks[0])
-    fits = df.where(F.size("t") >= span)
-    return fits.select(*keep, "t", F.explode(F.sequence(F.lit(0), F.size("t") - span)).alias("i"))
+    The outer forms of explode have no test of their own that would compute the tokens a second time.
+    """
+    span = min(map(len, masks))
+    placed = df.withColumn("i", F.explode_outer(F.when(F.size("t") >= span, F.sequence(F.lit(0), F.size("t") - span))))
+    at = lambda k: F.get("t", F.col("i") + k)
+    seeds = [F.when(at(len(m) - 1).isNotNull(), F.xxhash64(F.lit(n), *[at(k) for k, bit in enumerate(m) if bit == "1"])) for n, m in enumerate(masks)]
+    return placed.withColumn("_seed", F.explode_outer(F.array(*seeds))).drop("t")
 
 
 def _equal(a: Column, b: Column) -> Column:
@@ -52,32 +59,44 @@ def overlaps(
 ) -> DataFrame:
     """`key, item, doc_token, best_window, equal_tokens, item_tokens` for each document and item that overlap.
 
-    They overlap if along the diagonal of a seed hit some `window` tokens in a row (all, if the
-    shorter text has fewer) agree in `window_percent`, or the item's tokens do in `item_percent`.
-    The row tells the best such diagonal: where it starts in the document and what agreed. Texts
-    shorter than a mask, empty and null texts overlap with nothing. Rows that repeat a key, and
-    rows with a null key, count as one document. Extra columns are not read.
+    They overlap if along the diagonal of a seed hit some `window` tokens in a row agree in `window_percent`
+    (where the diagonal is shorter, all of it, which has to be LEAST tokens), or the item's tokens do in
+    `item_percent`; of items of fewer than LEAST tokens all have to agree. The row tells the best such diagonal: where it starts in the
+    document and what agreed. Items and documents with fewer tokens than any mask are compared as a whole
+    and overlap when equal; empty and null texts overlap with nothing. Rows that repeat a key, and rows with a null key, count as
+    one document; rows that repeat an item id, or have none, are items of their own under that id. Extra columns are not read.
     """
-    items = benchmark.select(F.col(item).alias("_item"), tokens(item_text).alias("t")).where(F.size("t") >= len(masks[0]))
-    seeds = _positions(items, masks, "_item").select("_item", F.col("t").alias("_b"), F.col("i").alias("_j"), F.explode(_seeds(F.col("t"), F.col("i"), masks)).alias("_seed"))
-    lists = seeds.groupBy("_seed").agg(F.collect_list(F.struct("_item", "_j")).alias("_hits"))
-    whole = items.select("_item", F.col("t").alias("_b"))
-    n = benchmark.select(F.sum(F.coalesce(F.size(tokens(item_text)), F.lit(0)))).first()[0] or 0
-    placed = _positions(docs.select(F.col(key).alias("_key"), tokens(text).alias("t")), masks, "_key")
-    probes = placed.select("_key", "t", "i", F.explode(_seeds(F.col("t"), F.col("i"), masks)).alias("_seed"))
-    if n * len(masks) <= SMALL_SEEDS:
-        hits = probes.join(F.broadcast(lists), "_seed").select("_key", "t", "i", F.explode("_hits").alias("_h"))
-        hits = hits.select("_key", "t", F.col("_h._item").alias("_item"), (F.col("i") - F.col("_h._j")).alias("_d"))
-        hits = hits.join(F.broadcast(whole), "_item")
-    else:
-        found = probes.select("_key", "i", "_seed").join(seeds.select("_seed", "_item", "_j"), "_seed").select("_key", "_item", (F.col("i") - F.col("_j")).alias("_d")).distinct()
-        hits = found.join(whole, "_item").join(docs.select(F.col(key).alias("_same"), tokens(text).alias("t")), F.col("_key").eqNullSafe(F.col("_same"))).drop("_same")
+    span = min(map(len, masks))
+    items = benchmark.select(F.monotonically_increasing_id().alias("_no"), F.col(item).alias("_item"), tokens(item_text).alias("t"))
+    items = stage(items.where(F.size("t") > 0), "items")
+    n = items.agg(F.sum(F.size("t")), F.max(F.when(F.size("t") < span, 1))).first()
+    few = (n[0] or 0) * len(masks) <= SMALL_SEEDS
+    small = F.broadcast if few else lambda df: df.hint("merge")
+    named = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
+    seeds = _seeded(items.select("_no", "t"), masks).where("_seed is not null")
+    lists = seeds.groupBy("_seed").agg(F.collect_list(F.struct("_no", F.col("i").alias("j"))).alias("_hits"))
+    probes = _seeded(named.select("_key", tokens("_text").alias("t")), masks)
+    met = probes.join(small(lists), "_seed").select("_key", "i", F.explode("_hits").alias("_h"))
+    found = met.select("_key", F.col("_h._no").alias("_no"), (F.col("i") - F.col("_h.j")).alias("_d"))
+    if n[1]:
+        whole = items.where(F.size("t") < span).select("_no", F.col("t").alias("_tokens"))
+        short = named.where(F.octet_length("_text") < 1 << 10).select("_key", tokens("_text").alias("_tokens"))
+        found = found.unionByName(short.join(small(whole), "_tokens").select("_key", "_no", F.lit(0).alias("_d")))
+    # Each diagonal is compared once, however many seeds met on it.
+    found = stage(found.distinct(), "diagonals")
+    listed = found.count() <= SMALL_SEEDS
+    again = F.broadcast if listed else lambda df: df.hint("merge")
+    keys = found.select(F.col("_key").alias("_same")).distinct()
+    texts = named.join(again(keys), F.col("_key").eqNullSafe(F.col("_same")), "left_semi")
+    pairs = texts.join(again(found.withColumnRenamed("_key", "_same")), F.col("_key").eqNullSafe(F.col("_same"))).drop("_same")
+    hits = pairs.join(small(items.withColumnRenamed("t", "_b")), "_no").withColumn("t", tokens("_text")).drop("_text", "_no")
     agree = hits.select("_key", "_item", "_d", F.size("_b").alias("item_tokens"), _along("t", "_b", "_d").alias("_e"))
     # Sums of all windows: the running sum of agreement less the one a window earlier.
     width = F.least(F.lit(window), F.size("_e"))
     sums = F.expr(f"transform(sequence(0, size(_e) - least({window}, size(_e))), k -> aggregate(slice(_e, k + 1, least({window}, size(_e))), 0, (s, x) -> s + x))")
-    rated = agree.select("_key", "_item", "_d", "item_tokens", width.alias("_w"), F.array_max(sums).alias("best_window"), F.aggregate("_e", F.lit(0), lambda s, x: s + x).alias("equal_tokens"))
-    close = rated.where((F.col("best_window") * 100 >= F.col("_w") * window_percent) | (F.col("equal_tokens") * 100 >= F.col("item_tokens") * item_percent))
+    rated = agree.select("_key", "_item", "_d", "item_tokens", F.size("_e").alias("_n"), width.alias("_w"), F.array_max(sums).alias("best_window"), F.aggregate("_e", F.lit(0), lambda s, x: s + x).alias("equal_tokens"))
+    wide, long = F.col("_n") >= LEAST, F.col("item_tokens") >= LEAST
+    close = rated.where((F.col("equal_tokens") == F.col("item_tokens")) | long & ((wide & (F.col("best_window") * 100 >= F.col("_w") * window_percent)) | (F.col("equal_tokens") * 100 >= F.col("item_tokens") * item_percent)))
     best = close.groupBy("_key", "_item").agg(F.max(F.struct("equal_tokens", "best_window", (-F.col("_d")).alias("_d"), "item_tokens")).alias("x"))
     return best.select(F.col("_key").alias(key), F.col("_item").alias(item), F.greatest(-F.col("x._d"), F.lit(0)).alias("doc_token"), "x.best_window", "x.equal_tokens", "x.item_tokens")
 

@@ -5,8 +5,10 @@ hashes. Each set therefore shows a prefix only, and sets with the same prefix an
 group. Hashes that occur in one group link nothing and go; what is left of a prefix must still be
 long enough to hold the shared part. Of the remaining hashes the rarest are joined. Each of their
 groups is first compared with one pivot; pairs are formed only across the components that this
-leaves, then expanded to the members and verified on whole sets. No true link between components
-is lost, and a large family of near copies costs one comparison for each member.
+leaves, then expanded to the members and verified on whole sets. That goes in rounds: a member first
+names the closest one of another component that a hash shows it, and the components that
+its true links join are not compared again; what no round joins is compared in full. No true link between
+components is lost, and a large family of near copies costs a few comparisons for each member.
 """
 
 from __future__ import annotations
@@ -37,6 +39,8 @@ BITS = 512
 FIRSTS = 16
 #: Fills the lists of those with fewer.
 NONE = (1 << 31) - 1
+#: At most so many rounds in which each row names its closest partner; one that joins nothing ends them, and all partners are named.
+ROUNDS = 3
 #: Rows of a hash that one step compares with each other; more are cut into blocks, pair by pair.
 BLOCK = 2000
 
@@ -121,19 +125,18 @@ def _torn(rows: DataFrame) -> DataFrame:
     return rows.join(torn, "h").select("h", "many", "unit", "n", "c", "parity", "firsts")
 
 
-def _across(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs (u, v) of units that share a hash and may be similar, judged by sizes and parity maps.
+def _across(rows: DataFrame, percent: int, closest: bool) -> DataFrame:
+    """`h, u, v`: pairs of units that share a hash and may be similar, judged by sizes and parity maps.
 
-    Units of one component are not compared again. No pair is written that the maps rule out, so
-    what comes out follows the similar pairs and not the squares of the groups. A pair is left to a
-    lower hash where the `firsts` of both show one: the least hash that two units share always
-    writes it, and seldom does another.
+    Units of one component are not compared again. A pair is left to a lower hash where the `firsts` of
+    both show one: the least hash that two units share always writes it, and seldom does another.
+    With `closest`, each row names at most one partner in each block, the one whose parity map is nearest.
     """
     kind = rows.schema["unit"].dataType.simpleString()
     dealt = rows.withColumn("blocks", F.ceil(F.col("many") / BLOCK).cast("int")).withColumn("blk", F.pmod(F.xxhash64("unit"), F.col("blocks")).cast("int"))
     dealt = dealt.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("o")).select("h", F.least("blk", "o").alias("x"), F.greatest("blk", "o").alias("y"), "blk", "unit", "n", "c", "parity", "firsts")
 
-    def compared(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray] | None:
+    def compared(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
         unit, n, c, blk = (part.column(k).to_numpy() for k in ("unit", "n", "c", "blk"))
         own = part.column("x")[0].as_py() == part.column("y")[0].as_py()
         h = part.column("h")[0].as_py()
@@ -146,14 +149,18 @@ def _across(rows: DataFrame, percent: int) -> DataFrame:
             j = two[(two > i) if own else slice(None)]
             j = j[(c[j] != c[i]) & (100 * np.minimum(n[j], n[i]) >= percent * np.maximum(n[j], n[i]))]
             apart = np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype=np.int64)
-            j = j[apart * (100 + percent) <= (100 - percent) * (n[j] + n[i])]
+            near = apart * (100 + percent) <= (100 - percent) * (n[j] + n[i])
+            j, apart = j[near], apart[near]
             if len(j):
                 lower = firsts[i][(firsts[i] < h) & (firsts[i] != NONE)]
-                j = j[(firsts[j][:, :, None] != lower).all(axis=(1, 2))]
+                own_pair = (firsts[j][:, :, None] != lower).all(axis=(1, 2))
+                j, apart = j[own_pair], apart[own_pair]
+                if closest and len(j):
+                    j = j[[int(np.argmin(apart))]]
             us.append(np.full(len(j), unit[i]))
             vs.append(unit[j])
         u, v = np.concatenate(us), np.concatenate(vs)
-        return (np.minimum(u, v), np.maximum(u, v)) if len(u) else None
+        return (np.full(len(u), h), np.minimum(u, v), np.maximum(u, v)) if len(u) else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -161,7 +168,7 @@ def _across(rows: DataFrame, percent: int) -> DataFrame:
 
         def done() -> Iterator[pa.RecordBatch]:
             if sum(h.num_rows for h in held) > 1 and (found := compared(pa.Table.from_batches(held).combine_chunks().to_batches()[0])):
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], ["u", "v"])
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], ["h", "u", "v"])
 
         for batch in batches:
             keys = np.stack([batch.column(k).to_numpy().astype(np.int64) for k in ("h", "x", "y")], axis=1)
@@ -175,7 +182,18 @@ def _across(rows: DataFrame, percent: int) -> DataFrame:
         yield from done()
 
     part = ["h", "x", "y"]
-    return map_arrow(dealt.repartition(*part).sortWithinPartitions(*part), run, f"u {kind}, v {kind}")
+    return map_arrow(dealt.repartition(*part).sortWithinPartitions(*part), run, f"h long, u {kind}, v {kind}")
+
+
+def _nearer_heads(links: DataFrame) -> DataFrame:
+    """`c, head`: for each end of links (u, v) the least end that it reaches in one step, and from there in one more.
+
+    Ends with one head are of one component. Not all of a component need have one head: they are then compared once more.
+    """
+    both = links.unionAll(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    least = both.groupBy(F.col("u").alias("c")).agg(F.least(F.min("v"), F.min("u")).alias("head"))
+    again = least.select(F.col("c").alias("head"), F.col("head").alias("further"))
+    return stage(least.join(again, "head").select("c", F.col("further").alias("head")), "heads")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
@@ -223,9 +241,27 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     # Members of one group meet under a number of their own.
     inner = of.select(F.col("grp").cast("long").alias("h"), "grp", "unit", "n", "c", "parity", "firsts")
     rows_of = _torn(shown).unionByName(_torn(inner).withColumn("h", F.lit(1 << 62) - F.col("h")))
-    more = stage(_across(stage(rows_of, "torn"), percent).distinct(), "residual")
-    asked = more.select(F.explode(F.array("u", "v")).alias("unit")).distinct()
-    links = links.unionAll(_verified(more, sets.join(if_small(asked), "unit", "left_semi"), percent))
+    torn = stage(rows_of, "torn")
+    closest, step = True, 0
+    while True:
+        more = stage(_across(torn, percent, closest), "residual")
+        if more.isEmpty():
+            break
+        named = more.select("u", "v").distinct()
+        asked = more.select(F.explode(F.array("u", "v")).alias("unit")).distinct()
+        true = stage(_verified(named, sets.join(if_small(asked), "unit", "left_semi"), percent), "links")
+        links = links.unionAll(true)
+        if not closest:
+            break
+        step += 1
+        closest = step < ROUNDS and not true.isEmpty()
+        # Only hashes that named a pair can name another one.
+        c_of = torn.select("unit", "c").distinct()
+        ends = true.join(c_of.withColumnsRenamed({"unit": "u", "c": "a"}), "u").join(c_of.withColumnsRenamed({"unit": "v", "c": "b"}), "v")
+        merged = _nearer_heads(ends.select(F.col("a").alias("u"), F.col("b").alias("v")))
+        left = torn.join(if_small(more.select("h").distinct()), "h", "left_semi")
+        moved = left.join(merged, "c", "left").withColumn("c", F.coalesce("head", "c")).drop("head", "many")
+        torn = stage(_torn(moved), "torn")
 
     final = units.join(components(links), F.col("unit") == F.col("node"), "left").select("n", "p", "f1", "f2", F.coalesce("component", "unit").alias("component_id"))
     out = rows.select(key, "n", "p", "f1", "f2").join(final, ["n", "p", "f1", "f2"], "left")

@@ -27,13 +27,18 @@ SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
+def _powers_of(base: int, n: int) -> np.ndarray:
+    table = np.full(n, base, np.uint64)
+    table[0] = 1
+    return np.cumprod(table)
+
+
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and its inverse; those for pieces of the usual size are kept."""
+    if n > CHUNK_BYTES + 1:
+        return _powers_of(_BASE, n), _powers_of(_INVERSE, n)
     if len(_powers[0]) < n:
-        size = max(n, CHUNK_BYTES + 1)
-        for k, base in enumerate((_BASE, _INVERSE)):
-            table = np.full(size, base, np.uint64)
-            table[0] = 1
-            _powers[k] = np.cumprod(table)
+        _powers[:] = [_powers_of(b, CHUNK_BYTES + 1) for b in (_BASE, _INVERSE)]
     return _powers[0], _powers[1]
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import io
 import pathlib
 import tempfile
@@ -33,8 +34,25 @@ def send_package(spark: SparkSession) -> None:
 
 
 def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """`df.mapInArrow` for functions of this package; a worker gives back the memory that a task took, since it is kept for others."""
     send_package(df.sparkSession)
-    return df.mapInArrow(run, schema)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            _trim()
+
+    return df.mapInArrow(task, schema)
+
+
+def _trim() -> None:
+    """Hand freed memory back to the system, where the C library can."""
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass
 
 
 #: A table of at most so many narrow rows is handed to every executor instead of shuffling the wide side.

@@ -40,6 +40,37 @@ def test_links_of_all_pairs(spark):
         assert got == expected(texts)
 
 
+def test_a_large_family_writes_few_pairs(spark, monkeypatch):
+    """Near copies that the pivot does not link with each other, long ones that share a passage, and blocks of few rows."""
+    rng = random.Random(9)
+    base = prose(rng, 130, 3000).split()
+    texts = []
+    for _ in range(150):
+        copy = list(base)
+        for at in rng.sample(range(130), rng.randrange(1, 5)):
+            copy[at] = f"x{rng.randrange(10**6)}"
+        texts.append(" ".join(copy))
+    passage = prose(rng, 700, 9000)
+    texts += [f"{passage} {prose(rng, 800, 9000)}" for _ in range(60)]
+    want = expected(texts)
+    written = []
+    across = prefix_join._across
+
+    def counted(rows, percent, closest):
+        found = across(rows, percent, closest)
+        written.append(found.count())
+        return found
+
+    monkeypatch.setattr(prefix_join, "_across", counted)
+    for rounds in (0, 3):
+        monkeypatch.setattr(prefix_join, "ROUNDS", rounds)
+        written.clear()
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in prefix_join.near_duplicates(documents(spark, texts)).collect()}
+        assert got == want
+        if rounds:
+            assert sum(written) < 20 * len(texts)
+
+
 def test_repeated_rows_null_keys_and_clashing_columns(spark):
     text = prose(random.Random(4), 50)
     rows = [(1, text, "en", "a", 1), (1, text, "en", "a", 1), (2, text, "en", "b", 1), (None, text, "en", "b", 1), (None, None, "en", "b", 1), (3, "", None, None, None)]
