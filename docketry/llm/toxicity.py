@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docketry.llm.text_batches import SPACE, ByteSums, mix, pieces, word_spans
-from docketry.llm.workers import map_arrow
+from docketry.llm.workers import give_back, map_arrow
 
 FEATURE_BITS = 20
 #: Besides itself, a longer word has the features of its beginnings of so many bytes.
@@ -90,7 +90,10 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 
     # `picked` has at most twice per_class rows.
     rows = map_arrow(docs.join(F.broadcast(picked), key).select("y", text), run, "y int, words array<int>, sizes array<int>").toArrow()
-    return _fit(rows, shares, rounds)
+    model = _fit(rows, shares, rounds)
+    del rows
+    give_back()  # the driver goes on with other work
+    return model
 
 
 def _fit(rows: pa.Table, shares: dict[int, int], rounds: int, rare: int = 4, sparse: float = 5e-5, pace: float = 0.3) -> Model:

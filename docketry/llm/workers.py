@@ -41,14 +41,14 @@ def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[
         try:
             yield from run(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            _trim()
+            give_back()
 
     return df.mapInArrow(task, schema)
 
 
-def _trim() -> None:
-    """Hand freed memory back to the system, where the C library can."""
+def give_back() -> None:
+    """Hand memory that is free back to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)
     except (AttributeError, OSError):
