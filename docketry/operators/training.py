@@ -112,11 +112,12 @@ def plain_names(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.replace("&", "_and_") for c in df.columns])
 
 
-def compare_models(df: DataFrame, flags: Sequence[str], folds: int = 5, seed: int = 42, parallelism: int = 5) -> DataFrame:
+def compare_models(df: DataFrame, flags: Sequence[str], folds: int = 5, seed: int = 42, parallelism: int = 1) -> DataFrame:
     """(model, mean_accuracy, is_best) of k-fold cross-validation on weighted patterns with a fold column.
 
     The models are alternatives for the last stage of one pipeline, so one cross-validator
-    compares them and fits several at a time.
+    compares them. It fits one at a time by default: fits that run side by side share the stages' parameters,
+    and now and then one is sent to the executors while another is being set.
     """
     models = classifiers(seed)
     pipeline = Pipeline(stages=[])
