@@ -113,6 +113,6 @@ def nearest(df: DataFrame, flags: Sequence[str], numbers: Sequence[str] = (), k:
         open_ = stage(left, "open")
         if open_.isEmpty():
             break
-        squared = min(whole, max(1.0, 2 * squared) if squared >= 1 or not numbers else 4 * squared)
+        squared = min(whole, 4 * squared if squared else 2.0)
     cut = F.filter("reach", lambda x, i: (i == 0) | (F.get(F.col("reach"), i - 1)["upto"] < k))
     return told.select("bits", *numbers, F.transform(cut, lambda x: F.struct(x["near_bits"].alias("near_bits"), x["near_numbers"].alias("near_numbers"), x["upto"].alias("upto"))).alias("reach"))
