@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docketry.functions.text import bind
 from docketry.session import stage
 
 #: Which of the tokens in a row count. Light masks keep passages in which a third of the tokens was replaced: of items
@@ -46,12 +47,15 @@ def _equal(a: Column, b: Column) -> Column:
     return F.zip_with(a, b, lambda x, y: F.when(x == y, F.lit(1)).otherwise(F.lit(0)))
 
 
-def _along(doc: str, item: str, diagonal: str) -> Column:
+def _along(doc: Column, item: Column, diagonal: Column) -> Column:
     """Agreement of document and item along a diagonal, over the places that both have."""
-    start = F.greatest(F.col(diagonal), F.lit(0))
-    skipped = F.greatest(-F.col(diagonal), F.lit(0))
-    n = F.least(F.size(doc) - start, F.size(item) - skipped)
-    return _equal(F.slice(doc, start + 1, n), F.slice(item, skipped + 1, n))
+    start, skipped = F.greatest(diagonal, F.lit(0)), F.greatest(-diagonal, F.lit(0))
+
+    def placed(t: Column) -> Column:
+        n = F.least(F.size(t) - start, F.size(item) - skipped)
+        return _equal(F.slice(t, start + 1, n), F.slice(item, skipped + 1, n))
+
+    return bind(doc, placed)
 
 
 def overlaps(
@@ -89,8 +93,9 @@ def overlaps(
     keys = found.select(F.col("_key").alias("_same")).distinct()
     texts = named.join(again(keys), F.col("_key").eqNullSafe(F.col("_same")), "left_semi")
     pairs = texts.join(again(found.withColumnRenamed("_key", "_same")), F.col("_key").eqNullSafe(F.col("_same"))).drop("_same")
-    hits = pairs.join(small(items.withColumnRenamed("t", "_b")), "_no").withColumn("t", tokens("_text")).drop("_text", "_no")
-    agree = hits.select("_key", "_item", "_d", F.size("_b").alias("item_tokens"), _along("t", "_b", "_d").alias("_e"))
+    hits = pairs.join(small(items.withColumnRenamed("t", "_b")), "_no")
+    # Written, since the sums below read it at every place.
+    agree = stage(hits.select("_key", "_item", "_d", F.size("_b").alias("item_tokens"), _along(tokens("_text"), F.col("_b"), F.col("_d")).alias("_e")), "agreement")
     # Sums of all windows: the running sum of agreement less the one a window earlier.
     width = F.least(F.lit(window), F.size("_e"))
     sums = F.expr(f"transform(sequence(0, size(_e) - least({window}, size(_e))), k -> aggregate(slice(_e, k + 1, least({window}, size(_e))), 0, (s, x) -> s + x))")
