@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassifier,
@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 
 from docketry.functions.text import hash_bucket
 from docketry.operators import neighbours
+from docketry.session import scratch_dir
 
 SCALE = 10_000
 
@@ -103,8 +104,28 @@ def classifiers(seed: int = 42) -> dict[str, object]:
     }
 
 
-def _pipeline(model: object, flags: Sequence[str]) -> Pipeline:
-    return Pipeline(stages=[VectorAssembler(inputCols=list(flags), outputCol="features"), model])
+class WithoutSummary(Estimator):
+    """Fits an estimator and gives its model as saved and loaded, without the summary of the training.
+
+    A summary holds the session, and scoring sends the model to the executors with its summary. Once a frame of the
+    session has been observed, the session cannot be sent any more.
+    """
+
+    def __init__(self, estimator: Estimator):
+        super().__init__()
+        self.estimator = estimator
+
+    def _fit(self, dataset: DataFrame) -> Model:
+        model = self.estimator.fit(dataset)
+        if not getattr(model, "hasSummary", False):
+            return model
+        path = scratch_dir(dataset.sparkSession, "model")
+        model.write().save(path)
+        return type(model).load(path)
+
+
+def _pipeline(model: Estimator, flags: Sequence[str]) -> Pipeline:
+    return Pipeline(stages=[VectorAssembler(inputCols=list(flags), outputCol="features"), WithoutSummary(model)])
 
 
 def plain_names(df: DataFrame) -> DataFrame:
