@@ -20,6 +20,9 @@ from docketry.session import stage
 #: The first cells are the widest, in powers of two, that hold no more patterns than so many times k.
 CROWD = 16
 FINEST = 12
+#: Probes with their segments and cells are sent to all tasks up to so many rows. Stored sizes say little about them: the
+#: planner takes a side that is exploded for as small as its files.
+FEW = 50_000
 
 
 def patterns(df: DataFrame, flags: Sequence[str], numbers: Sequence[str]) -> DataFrame:
@@ -52,8 +55,8 @@ def _segments(n: int, squared: float) -> list[tuple[int, int]]:
     return [(a + 1, b - a) for a, b in zip(cuts, cuts[1:])]
 
 
-def _met(probes: DataFrame, points: DataFrame, numbers: Sequence[str], n_flags: int, squared: float) -> DataFrame:
-    """Pairs of a probe and a point within the radius, each once, with their distance `d` squared."""
+def _met(probes: DataFrame, asked: int, points: DataFrame, numbers: Sequence[str], n_flags: int, squared: float) -> DataFrame:
+    """Pairs of one of the `asked` probes and a point within the radius, each once, with their distance `d` squared."""
     width = math.sqrt(squared) * (1 + 1e-9) or 1e-9
     segments = _segments(n_flags, squared)
     keys = F.array(*[F.concat_ws("/", F.lit(i), F.substring("bits", a, m)) for i, (a, m) in enumerate(segments)]) if segments else F.array(F.lit("all"))
@@ -65,7 +68,8 @@ def _met(probes: DataFrame, points: DataFrame, numbers: Sequence[str], n_flags:
         asking = asking.withColumn(f"_c{i}", F.explode(around))
     names = {"bits": "near_bits", "rows": "near_rows", **{n: f"near_{n}" for n in numbers}}
     on = ["_seg", *[f"_c{i}" for i in range(len(numbers))]]
-    both = asking.drop("rows").join(placed.withColumnsRenamed(names), on)
+    few = asked * max(1, len(segments)) * 3 ** len(numbers) <= FEW
+    both = asking.drop("rows").hint("broadcast" if few else "merge").join(placed.withColumnsRenamed(names), on)
     flipped = _hamming("bits", "near_bits", n_flags)
     apart = [(F.col(n) - F.col(f"near_{n}")) * (F.col(n) - F.col(f"near_{n}")) for n in numbers]
     pairs = both.withColumn("d", reduce(lambda a, b: a + b, apart, flipped.cast("double"))).filter(F.col("d") <= squared)
@@ -95,10 +99,10 @@ def nearest(df: DataFrame, flags: Sequence[str], numbers: Sequence[str] = (), k:
     squared = _first_width(points, numbers, k) ** 2
     own = reduce(lambda a, b: a & b, [F.col(n) == F.col(f"near_{n}") for n in numbers], F.col("bits") == F.col("near_bits"))
     by = Window.partitionBy("bits", *numbers).orderBy(F.round("d", 9), "near_bits", *[f"near_{n}" for n in numbers])
-    told, open_ = None, points
+    told, open_, asked = None, points, points.count()
     while True:
         last = squared >= whole
-        others = _met(open_, points, numbers, len(flags), squared).withColumn("others", F.col("near_rows") - own.cast("int")).filter("others > 0")
+        others = _met(open_, asked, points, numbers, len(flags), squared).withColumn("others", F.col("near_rows") - own.cast("int")).filter("others > 0")
         ranked = others.withColumn("_rank", F.row_number().over(by)).filter(F.col("_rank") <= k)
         upto = F.sum("others").over(by.rowsBetween(Window.unboundedPreceding, 0))
         near = ranked.withColumn("upto", upto).groupBy("bits", *numbers).agg(
@@ -109,9 +113,10 @@ def nearest(df: DataFrame, flags: Sequence[str], numbers: Sequence[str] = (), k:
         told = found if told is None else told.unionByName(found)
         if last:
             break
-        left = open_.join(found.select("bits", *numbers), ["bits", *numbers], "left_anti")
+        left = open_.join(found.select("bits", *numbers).hint("merge"), ["bits", *numbers], "left_anti")
         open_ = stage(left, "open")
-        if open_.isEmpty():
+        asked = open_.count()
+        if not asked:
             break
         squared = min(whole, 4 * squared if squared else 2.0)
     cut = F.filter("reach", lambda x, i: (i == 0) | (F.get(F.col("reach"), i - 1)["upto"] < k))

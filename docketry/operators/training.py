@@ -72,7 +72,7 @@ def oversample(minority: DataFrame, flags: Sequence[str], key: str, copies: int
     """
     table = neighbours.nearest(minority, flags, numbers, k).withColumnRenamed("reach", "_reach")
     bits = F.concat(*[F.col(f"`{f}`").cast("int").cast("string") for f in reversed(flags)]) if flags else F.lit("")
-    made = minority.withColumn("bits", bits).join(table, ["bits", *numbers]).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(copies))))
+    made = minority.withColumn("bits", bits).join(table.hint("merge"), ["bits", *numbers]).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(copies))))
     seed = F.concat(F.col(key).cast("string"), F.lit("/"), F.col("_copy").cast("string"))
     known = F.element_at("_reach", -1)["upto"]
     pick = hash_bucket(F.concat(seed, F.lit("n")), k) % F.least(known, F.lit(k)) + 1

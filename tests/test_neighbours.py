@@ -58,3 +58,11 @@ def test_segments_meet_whatever_differs():
         cuts = neighbours._segments(n, r)
         for flips in itertools.combinations(range(n), r):
             assert any(all(not a - 1 <= f < a - 1 + m for f in flips) for a, m in cuts)
+
+
+def test_exploded_sides_are_sent_to_all_tasks_only_by_their_rows(spark, capsys):
+    """By their files both sides would be small enough; with segments and cells they are not."""
+    points = neighbours.patterns(spark.range(200).selectExpr("cast(id % 2 AS int) AS a", "cast(id % 3 = 0 AS int) AS b", "id / 200 AS x"), ["a", "b"], ["x"])
+    for asked, sent in ((200, True), (neighbours.FEW, False)):
+        neighbours._met(points, asked, points, ["x"], 2, 1.0).explain()
+        assert ("BroadcastHashJoin" in capsys.readouterr().out) == sent
