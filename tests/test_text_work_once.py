@@ -53,3 +53,24 @@ def test_calls_meet_cases_by_key_and_day(spark, tmp_path, capsys):
     plan = plan_of(jobs.join_day_before(calls, cases, "k", "calls_at", "cases_at", "1 hour"), capsys)
     join = next(line for line in plan.splitlines() if "StreamingSymmetricHashJoin" in line)
     assert "_asked" in join and "_day" in join
+
+
+def test_phrases_by_passes_are_the_same_and_rare_pairs_are_not_kept(docs, monkeypatch):
+    from docketry.session import stage
+
+    kept = {}
+    monkeypatch.setattr(topics, "stage", lambda df, name, *how: kept.setdefault(f"{name} {len(kept)}", stage(df, name, *how)))
+    twice = docs.unionAll(docs.withColumn("id", F.col("id") + 10))
+    one, many = (topics.phrases(twice, "tokens", 4, 0.0, passes) for passes in (1, 3))
+    want = {("c", "d"): (4, 0.0)}
+    counts = [df for name, df in kept.items() if name.startswith("phrase-counts")]
+    assert len(counts) == 4
+    assert {tuple(r) for r in counts[0].filter("b is not null").collect()} == {(a, b, n) for (a, b), (n, _) in want.items()}
+    one, many = (topics.phrases(twice, "tokens", 2, 0.0, passes) for passes in (1, 3))
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, many.collect())) == [("c", "d", 4, 1.166667)]
+    merged = [topics.apply_phrases(twice, one, "id", "tokens", passes=passes).orderBy("id").collect() for passes in (1, 3)]
+    assert merged[0] == merged[1]
+    assert merged[0][1]["tokens"] == ["b", "c_d"]
+    monkeypatch.setattr(topics, "PASS_TOKENS", 9)
+    assert topics.phrase_passes(twice, "tokens") == 4
+    assert topics.phrase_passes(docs.limit(0), "tokens") == 1
