@@ -44,3 +44,21 @@ def test_passages_leave_only_what_their_result_reads(spark, tmp_path, monkeypatc
     found = passages(docs)
     assert sorted(os.listdir(tmp_path)) == ["passage-keys", "passages"]
     assert {r["doc_id"] for r in found.collect()} == {0, 1, 2, 3}
+
+
+def test_a_factorization_keeps_no_tokens_and_clears_its_messages(spark, tmp_path, monkeypatch):
+    from docketry.catalog.topics import nmf_weights
+    from docketry.operators import topics
+
+    monkeypatch.setattr(session, "scratch_dir", lambda spark, name: f"{tmp_path}/{name}")
+    given, als = {}, topics.ALS
+    monkeypatch.setattr(topics, "ALS", lambda **how: given.update(how) or als(**how))
+    texts = ["red green green", "red blue", "green blue blue"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/in/documents.parquet")
+    weights = nmf_weights(spark, f"{tmp_path}/in")
+    assert not os.path.exists(f"{tmp_path}/tokens")
+    assert {(r["doc_id"], r["term"]) for r in weights.collect()} == {(0, "red"), (0, "green"), (1, "red"), (1, "blue"), (2, "green"), (2, "blue")}
+    monkeypatch.undo()
+    monkeypatch.setattr(topics, "ALS", lambda **how: given.update(how) or als(**how))
+    model, _, _ = topics.nmf_model(weights, "doc_id", 2, iterations=1)
+    assert model.rank == 2 and given["checkpointInterval"] == 1
