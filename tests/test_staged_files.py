@@ -60,5 +60,7 @@ def test_a_factorization_keeps_no_tokens_and_clears_its_messages(spark, tmp_path
     assert {(r["doc_id"], r["term"]) for r in weights.collect()} == {(0, "red"), (0, "green"), (1, "red"), (1, "blue"), (2, "green"), (2, "blue")}
     monkeypatch.undo()
     monkeypatch.setattr(topics, "ALS", lambda **how: given.update(how) or als(**how))
-    model, _, _ = topics.nmf_model(weights, "doc_id", 2, iterations=1)
+    model, *numbered = topics.nmf_model(weights, "doc_id", 2, iterations=1)
     assert model.rank == 2 and given["checkpointInterval"] == 1
+    again, rated, _ = topics.nmf_model(weights, "doc_id", 1, iterations=1, numbered=numbered)
+    assert again.rank == 1 and rated is numbered[0]
