@@ -33,6 +33,9 @@ def test_topic_counts_leave_the_texts_behind(docs):
     assert vocab == ["a", "b", "c", "d"]  # by count, then by word
     assert counted.columns == ["id", "counts"]
     assert models[2].vocabSize() == 4
+    again, same, words = topics.lda_models(docs, "tokens", ks=(3,), passes=1, keep=4, counted=(counted, vocab))
+    assert same is counted and words is vocab
+    assert again[3].vocabSize() == 4
 
 
 def test_blocks_grow_with_the_weights_and_the_error_is_that_of_the_model(spark, monkeypatch):
